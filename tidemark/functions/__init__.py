@@ -11,6 +11,7 @@ from tidemark.functions.measures import (
     parse_utc,
     safe_divide,
     utc,
+    utc_like,
 )
 
 __all__ = [
@@ -25,4 +26,5 @@ __all__ = [
     "safe_divide",
     "surrogate_key",
     "utc",
+    "utc_like",
 ]

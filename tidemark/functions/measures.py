@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -47,6 +47,11 @@ def utc(moment: datetime | str) -> Column:
     return F.lit(text).cast("timestamp")
 
 
+def utc_like(df: DataFrame, col: str, moment: datetime | str) -> Column:
+    """The literal in the type of `df[col]`, so a comparison needs no cast and reaches the scan."""
+    return utc(moment).cast(df.schema[col].dataType)
+
+
 def loaded_at(as_of: datetime | None) -> Column:
     """The load time: injected for repeatable runs, the clock otherwise."""
     return F.current_timestamp() if as_of is None else utc(as_of)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,7 +13,8 @@ RECENCY = ("updated_at", "extracted_at", "loaded_at")
 
 def orderable(df: DataFrame, names: Sequence[str]) -> list[str]:
     unordered = (T.MapType, T.VariantType)
-    return [n for n in names if not isinstance(df.schema[n].dataType, unordered)]
+    schema = df.schema
+    return [n for n in names if not isinstance(schema[n].dataType, unordered)]
 
 
 def dedupe_latest(
@@ -32,6 +33,7 @@ def dedupe_latest(
     """
     if tiebreak is None:
         tiebreak = [c for c in df.columns if c not in {*keys, *order_by}]
-    ranking = [F.col(c).desc_nulls_last() for c in [*order_by, *orderable(df, tiebreak)]]
-    window = Window.partitionBy(*keys).orderBy(*ranking)
-    return df.withColumn("__rank", F.row_number().over(window)).where("__rank = 1").drop("__rank")
+    ranking = ", ".join(f"`{c}` desc nulls last" for c in [*order_by, *orderable(df, tiebreak)])
+    grouping = ", ".join(f"`{c}`" for c in keys)
+    rank = F.expr(f"row_number() over (partition by {grouping} order by {ranking})")
+    return df.withColumn("__rank", rank).where("__rank = 1").drop("__rank")

@@ -7,14 +7,14 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import utc
+from tidemark.functions import utc, utc_like
 
 
 def extract_window(df: DataFrame, ts_col: str, lower: datetime, upper: datetime) -> DataFrame:
     """Rows changed in `(lower, upper]`; the bounds are literals, so sources can prune."""
     if lower >= upper:
         raise ValueError(f"the window start {lower} must be earlier than its end {upper}")
-    return df.where((F.col(ts_col) > utc(lower)) & (F.col(ts_col) <= utc(upper)))
+    return df.where((F.col(ts_col) > utc_like(df, ts_col, lower)) & (F.col(ts_col) <= utc_like(df, ts_col, upper)))
 
 
 def stamp_lineage(
@@ -50,4 +50,4 @@ def high_water_filter(df: DataFrame, target: DataFrame | None, col: str = "updat
     if target is None:
         return df
     mark = high_water_mark(target, col) or datetime(1970, 1, 1)
-    return df.where(F.col(col) >= utc(mark))
+    return df.where(F.col(col) >= utc_like(df, col, mark))

@@ -8,7 +8,8 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.asof import asof_join
+from tidemark.operators.asof import HOT_VERSIONS, asof_join
+from tidemark.operators.hotkeys import HOT_ROWS
 from tidemark.operators.scd2 import scd2_incremental, scd2_initial
 from tidemark.sources.store import Layout
 
@@ -83,27 +84,36 @@ def dim_coupon(stg: DataFrame) -> DataFrame:
     )
 
 
-def dim_customer(stg: DataFrame, existing: DataFrame | None = None, history: bool = False) -> DataFrame:
-    """Versions to upsert on customer_sk. `history=True` takes a full change log instead of staging."""
+def dim_customer(
+    stg: DataFrame, existing: DataFrame | None = None, history: bool = False, hot_rows: int | None = HOT_ROWS
+) -> DataFrame:
+    """Versions to upsert on customer_sk.
+
+    `history=True` takes a full change log instead of staging, whose keys have
+    one row each; keys of a log above `hot_rows` rows are split.
+    """
     if existing is not None:
         return scd2_incremental(
             stg, existing, "customer_id", CUSTOMER_TRACKED, "customer_sk", CUSTOMER_UNTRACKED
         )
-    extra = {} if history else {"hot_rows": None}
-    return scd2_initial(stg, "customer_id", CUSTOMER_TRACKED, "customer_sk", CUSTOMER_UNTRACKED, **extra)
+    limit = hot_rows if history else None
+    return scd2_initial(stg, "customer_id", CUSTOMER_TRACKED, "customer_sk", CUSTOMER_UNTRACKED, hot_rows=limit)
 
 
-def dim_product(stg: DataFrame, existing: DataFrame | None = None, history: bool = False) -> DataFrame:
+def dim_product(
+    stg: DataFrame, existing: DataFrame | None = None, history: bool = False, hot_rows: int | None = HOT_ROWS
+) -> DataFrame:
     """Versions to upsert on product_sk."""
     if existing is not None:
         return scd2_incremental(stg, existing, "product_id", PRODUCT_TRACKED, "product_sk")
-    extra = {} if history else {"hot_rows": None}
-    return scd2_initial(stg, "product_id", PRODUCT_TRACKED, "product_sk", **extra)
+    return scd2_initial(stg, "product_id", PRODUCT_TRACKED, "product_sk", hot_rows=hot_rows if history else None)
 
 
-def fact_order(stg_orders: DataFrame, customers: DataFrame) -> DataFrame:
+def fact_order(stg_orders: DataFrame, customers: DataFrame, hot_versions: int | None = HOT_VERSIONS) -> DataFrame:
     """Orders with the customer version valid at order time."""
-    joined = asof_join(stg_orders, customers, "customer_id", "order_at", {"customer_sk": "customer_sk"})
+    joined = asof_join(
+        stg_orders, customers, "customer_id", "order_at", {"customer_sk": "customer_sk"}, hot_versions=hot_versions
+    )
     return joined.select(
         "order_id",
         "customer_id",
@@ -121,13 +131,14 @@ def fact_order(stg_orders: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
-def fact_order_item(stg_items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
+def fact_order_item(
+    stg_items: DataFrame, orders: DataFrame, products: DataFrame, hot_versions: int | None = HOT_VERSIONS
+) -> DataFrame:
     """Items with the order's date and the product version valid at order time."""
     order_times = orders.select(F.col("order_id").alias("__order_id"), "order_date", "order_at")
     timed = stg_items.join(order_times, F.col("order_id") == F.col("__order_id"), "left")
-    joined = asof_join(
-        timed, products, "product_id", "order_at", {"product_sk": "product_sk", "category_id": "category_id"}
-    )
+    found = {"product_sk": "product_sk", "category_id": "category_id"}
+    joined = asof_join(timed, products, "product_id", "order_at", found, hot_versions=hot_versions)
     return joined.select(
         "order_item_id",
         "order_id",

@@ -29,16 +29,15 @@ def standardize(
     spec = entity(table)
     rows = raw if since is None else raw.where(F.col("updated_at") >= utc(since))
     latest = dedupe_latest(rows, spec.key, tiebreak=tiebreak)
-    dates = {source: (name, source) for name, source in spec.date_of}
+    dates = {source: name for name, source in spec.date_of}
     out = []
     for f in spec.staging_schema:
-        value = F.col(f.name).cast(f.dataType)
+        value = f"cast({f.name} as {f.dataType.simpleString()})"
         if f.name in spec.lower_case:
-            value = F.lower(value)
+            value = f"lower({value})"
         if f.name == "is_deleted" and spec.default_not_deleted:
-            value = F.coalesce(value, F.lit(False))
-        out.append(value.alias(f.name))
+            value = f"coalesce({value}, false)"
+        out.append(f"{value} as {f.name}")
         if f.name in dates:
-            name, source = dates[f.name]
-            out.append(F.to_date(F.col(source).cast("timestamp")).alias(name))
-    return latest.select(*out)
+            out.append(f"to_date(cast({f.name} as timestamp)) as {dates[f.name]}")
+    return latest.selectExpr(*out)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas as S
-from tidemark.functions import hash_of, utc
+from tidemark.functions import hash_of, utc, utc_like
 from tidemark.operators import (
     asof_join,
     dedupe_latest,
@@ -30,7 +30,7 @@ from tidemark.quality import Check, checks
 from tidemark.quality import run as run_checks
 from tidemark.quality.checks import FAILED
 from tidemark.quality.declared import final_suite
-from tidemark.registry.inputs import Mapped, customer_log, load, money, purchases
+from tidemark.registry.inputs import Mapped, customer_log, load, load_naive, money, purchases
 from tidemark.session import pin_result_settings, shared_folder
 from tidemark.sources.store import Layout, TableStore
 
@@ -50,17 +50,17 @@ def comparable(df: DataFrame) -> DataFrame:
     """
     out = []
     for f in df.schema:
-        value = F.col(f.name)
+        value = f"`{f.name}`"
         if f.name in SENTINEL_COLUMNS:
-            value = F.date_format(value, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+            value = f"date_format({value}, 'yyyy-MM-dd HH:mm:ss.SSSSSS')"
         elif isinstance(f.dataType, T.TimestampType):
-            value = value.cast("timestamp_ntz")
+            value = f"cast({value} as timestamp_ntz)"
         elif isinstance(f.dataType, T.IntegerType):
-            value = value.cast("long")
+            value = f"cast({value} as bigint)"
         elif isinstance(f.dataType, T.DecimalType):
-            value = value.cast(T.DecimalType(38, f.dataType.scale))
-        out.append(value.alias(f.name))
-    return df.select(*out)
+            value = f"cast({value} as decimal(38,{f.dataType.scale}))"
+        out.append(f"{value} as `{f.name}`")
+    return df.selectExpr(*out)
 
 
 def query(fn: Query) -> Query:
@@ -93,7 +93,7 @@ def dedupe_latest_events(spark, sf_dir):
 @query
 def extract_window_events(spark, sf_dir):
     """Both bounds are event times of the data, so the open and the closed end matter."""
-    events = load(spark, sf_dir, "events")
+    events = load_naive(spark, sf_dir, "events")
     bounds = events.agg(
         F.date_format(F.min("ts"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("lo"),
         F.date_format(F.max("ts"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("hi"),
@@ -107,8 +107,8 @@ def extract_window_events(spark, sf_dir):
 @query
 def incremental_high_water(spark, sf_dir):
     """Rows at or above the newest row of a target that ends at the split."""
-    events = load(spark, sf_dir, "events")
-    return high_water_filter(events, events.where(F.col("ts") < utc(SPLIT)), "ts")
+    events = load_naive(spark, sf_dir, "events")
+    return high_water_filter(events, events.where(F.col("ts") < utc_like(events, "ts", SPLIT)), "ts")
 
 
 @query
@@ -160,7 +160,7 @@ def _upserted(spark, name: str, first: DataFrame, second: DataFrame) -> DataFram
 @query
 def dim_category_upsert(spark, sf_dir):
     """All categories; then those with a long name are renamed a day later."""
-    first = Mapped(spark, sf_dir).dim_category()
+    first = Mapped(spark, sf_dir).dim_category
     renamed = first.where("length(category_name) > 5").withColumns(
         {
             "category_name": F.lower("category_name"),
@@ -268,7 +268,7 @@ def fact_order_asof(spark, sf_dir):
 @query
 def fact_order_item_asof(spark, sf_dir):
     """Line items with the order date and the product version at order time."""
-    return Mapped(spark, sf_dir).fact_order_item().drop("created_at", "extract_date", "loaded_at")
+    return Mapped(spark, sf_dir).fact_order_item.drop("created_at", "extract_date", "loaded_at")
 
 
 def _order_versions(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
@@ -318,7 +318,7 @@ def asof_join_split_keys(spark, sf_dir):
 
 @query
 def fact_payment(spark, sf_dir):
-    return Mapped(spark, sf_dir).fact_payment()
+    return Mapped(spark, sf_dir).fact_payment
 
 
 @query
@@ -433,7 +433,7 @@ def backfill_range(spark, sf_dir):
 def _daily_sales(spark, sf_dir, **bounds) -> DataFrame:
     m = Mapped(spark, sf_dir)
     mart = marts.mart_daily_sales(
-        m.fact_order_item(), m.dim_category(), m.fact_order(), m.fact_payment(), as_of=AS_OF, **bounds
+        m.fact_order_item, m.dim_category, m.fact_order, m.fact_payment, as_of=AS_OF, **bounds
     )
     return mart.drop("mart_loaded_at")
 
@@ -461,13 +461,13 @@ def mart_daily_sales_lookback(spark, sf_dir):
 def mart_product_sales(spark, sf_dir):
     m = Mapped(spark, sf_dir)
     mart = marts.mart_product_sales(
-        m.fact_order_item(), m.fact_order(), m.dim_product(), m.dim_category(), as_of=AS_OF
+        m.fact_order_item, m.fact_order, m.dim_product, m.dim_category, as_of=AS_OF
     )
     return mart.drop("mart_loaded_at")
 
 
 def _ltv(m: Mapped) -> DataFrame:
-    return marts.mart_customer_ltv(m.fact_order(), m.fact_payment(), m.dim_customer(), as_of=AS_OF)
+    return marts.mart_customer_ltv(m.fact_order, m.fact_payment, m.dim_customer, as_of=AS_OF)
 
 
 @query
@@ -478,7 +478,7 @@ def mart_customer_ltv(spark, sf_dir):
 @query
 def mart_monthly_retention(spark, sf_dir):
     m = Mapped(spark, sf_dir)
-    return marts.mart_monthly_retention(m.fact_order(), _ltv(m), as_of=AS_OF).drop("mart_loaded_at")
+    return marts.mart_monthly_retention(m.fact_order, _ltv(m), as_of=AS_OF).drop("mart_loaded_at")
 
 
 # -- data quality: each check on data that violates it -----------------------------------
@@ -606,11 +606,11 @@ def dq_suite(spark, sf_dir):
     store = TableStore(spark, shared_folder(spark, "suite"))
     built = {
         "raw_orders": m.raw("orders"),
-        "fact_order": m.fact_order(),
-        "fact_payment": m.fact_payment(),
-        "dim_customer": m.dim_customer(),
-        "dim_product": m.dim_product(),
-        "dim_category": m.dim_category(),
+        "fact_order": m.fact_order,
+        "fact_payment": m.fact_payment,
+        "dim_customer": m.dim_customer,
+        "dim_product": m.dim_product,
+        "dim_category": m.dim_category,
     }
     for name, df in built.items():
         store.overwrite(name, df)
