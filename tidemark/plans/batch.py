@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta, timezone
 from typing import Protocol
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import loaded_at
 from tidemark.operators.incremental import high_water_mark, stamp_lineage
+from tidemark.operators.reduce import only_matching
 from tidemark.plans import core, marts
 from tidemark.plans.control import ControlState
 from tidemark.plans.staging import standardize
@@ -87,28 +90,47 @@ class Warehouse:
         return {f"raw_{t}": self.raw.read(t) for t in ENTITIES if self.raw.exists(t)}
 
 
+def side_by_side(spark: SparkSession, tasks: Mapping[str, Callable[[], object]], width: int = 4) -> dict[str, object]:
+    """Run independent Spark jobs at the same time so that one's tail does not idle the cluster.
+
+    Every task runs to its end; its result, or the exception it raised, is returned by name.
+    """
+
+    def guarded(task: Callable[[], object]) -> object:
+        try:
+            return task()
+        except Exception as problem:  # handed to the caller by name
+            return problem
+
+    with ThreadPoolExecutor(width) as pool:
+        started = {name: pool.submit(inheritable_thread_target(spark)(guarded), task) for name, task in tasks.items()}
+        return {name: future.result() for name, future in started.items()}
+
+
+def all_or_raise(results: Mapping[str, object]) -> None:
+    for problem in results.values():
+        if isinstance(problem, Exception):
+            raise problem
+
+
 def extract_table(
     wh: Warehouse, source: Source, table: str, lower: datetime, upper: datetime, cfg: BatchConfig, now: datetime
 ) -> tuple[str, int]:
-    """Land one window; rows are counted while they are written."""
-    seen = Observation()
+    """Land one window and count it; the count reads file footers only."""
     df = stamp_lineage(source.window(wh.spark, table, lower, upper), cfg.extract_date, now, table, cfg.batch_id)
-    folder = wh.zone.write(
-        table, df.observe(seen, F.count(F.lit(1)).alias("rows")), cfg.extract_date.isoformat(), cfg.batch_id
-    )
-    return folder, int(seen.get["rows"])
+    folder = wh.zone.write(table, df, cfg.extract_date.isoformat(), cfg.batch_id)
+    return folder, wh.zone.read(folder).count()
 
 
 def load_raw(wh: Warehouse, folder: str, table: str, batch_id: str, now: datetime) -> int:
     """Replace the batch in the raw table; the load time is set in the same write."""
-    seen = Observation()
-    landed = wh.zone.read(folder).withColumn("loaded_at", loaded_at(now))
-    wh.raw.replace_batch(table, landed.observe(seen, F.count(F.lit(1)).alias("rows")), batch_id, RAW_LAYOUT)
-    return int(seen.get["rows"])
+    landed = wh.zone.read(folder)
+    wh.raw.replace_batch(table, landed.withColumn("loaded_at", loaded_at(now)), batch_id, RAW_LAYOUT)
+    return landed.count()
 
 
 def build_core(wh: Warehouse) -> None:
-    """Dimensions first, then facts; every model reads stored tables only."""
+    """Dimensions and plain facts side by side, then the facts that look them up; all read stored tables."""
 
     def merge(name: str, df: DataFrame) -> None:
         target = core.TARGETS[name]
@@ -117,25 +139,33 @@ def build_core(wh: Warehouse) -> None:
     def incremental(name: str, table: str) -> DataFrame:
         return wh.staging(table, high_water_mark(wh.core.read_or_none(name)))
 
-    wh.core.overwrite("dim_date", core.dim_date(wh.spark))
-    merge("dim_category", core.dim_category(incremental("dim_category", "categories")))
-    merge("dim_coupon", core.dim_coupon(incremental("dim_coupon", "coupons")))
-    merge("dim_customer", core.dim_customer(wh.staging("customers"), wh.core.read_or_none("dim_customer")))
-    merge("dim_product", core.dim_product(wh.staging("products"), wh.core.read_or_none("dim_product")))
+    def run(**tasks: Callable[[], None]) -> None:
+        all_or_raise(side_by_side(wh.spark, tasks))
+
+    def fact(name: str, table: str) -> Callable[[], None]:
+        return lambda: merge(name, getattr(core, name)(incremental(name, table)))
+
+    run(
+        dim_date=lambda: wh.core.overwrite("dim_date", core.dim_date(wh.spark)),
+        dim_category=fact("dim_category", "categories"),
+        dim_coupon=fact("dim_coupon", "coupons"),
+        dim_customer=lambda: merge(
+            "dim_customer", core.dim_customer(wh.staging("customers"), wh.core.read_or_none("dim_customer"))
+        ),
+        dim_product=lambda: merge(
+            "dim_product", core.dim_product(wh.staging("products"), wh.core.read_or_none("dim_product"))
+        ),
+        fact_payment=fact("fact_payment", "payments"),
+        fact_shipment=fact("fact_shipment", "shipments"),
+        fact_inventory_snapshot=fact("fact_inventory_snapshot", "inventory_snapshots"),
+        fact_order_status_history=fact("fact_order_status_history", "order_status_history"),
+    )
     customers, products = wh.core.read("dim_customer"), wh.core.read("dim_product")
     merge("fact_order", core.fact_order(incremental("fact_order", "orders"), customers))
-    orders = wh.core.read("fact_order")
-    merge("fact_order_item", core.fact_order_item(incremental("fact_order_item", "order_items"), orders, products))
-    merge("fact_payment", core.fact_payment(incremental("fact_payment", "payments")))
-    merge("fact_shipment", core.fact_shipment(incremental("fact_shipment", "shipments")))
-    merge(
-        "fact_inventory_snapshot",
-        core.fact_inventory_snapshot(incremental("fact_inventory_snapshot", "inventory_snapshots")),
-    )
-    merge(
-        "fact_order_status_history",
-        core.fact_order_status_history(incremental("fact_order_status_history", "order_status_history")),
-    )
+    orders, items = wh.core.read("fact_order"), incremental("fact_order_item", "order_items")
+    if wh.core.exists("fact_order_item"):
+        (orders,) = only_matching([orders], items.select("order_id"))
+    merge("fact_order_item", core.fact_order_item(items, orders, products))
 
 
 def build_marts(
@@ -166,36 +196,47 @@ def build_marts(
     months = (start.replace(day=1), end.replace(day=1)) if ranged else None
     week_ago = today - timedelta(days=marts.SALES_LOOKBACK_DAYS)
     year_ago = today.replace(day=1, year=today.year - marts.RETENTION_LOOKBACK_MONTHS // 12)
-    overwrite(
-        "mart_daily_sales",
-        marts.mart_daily_sales(
-            t["fact_order_item"],
-            t["dim_category"],
-            t["fact_order"],
-            t["fact_payment"],
-            **reach("mart_daily_sales", week_ago),
-        ),
-        days,
-    )
-    overwrite(
-        "mart_product_sales",
-        marts.mart_product_sales(
-            t["fact_order_item"],
-            t["fact_order"],
-            t["dim_product"],
-            t["dim_category"],
-            **reach("mart_product_sales", week_ago),
-        ),
-        days,
-    )
-    ltv = marts.mart_customer_ltv(
-        t["fact_order"],
-        t["fact_payment"],
-        t["dim_customer"],
-        **reach("mart_customer_ltv", today - timedelta(days=marts.LTV_LOOKBACK_DAYS)),
-    )
     target = marts.TARGETS["mart_customer_ltv"]
-    wh.mart.merge("mart_customer_ltv", ltv, target.key, target.layout)
+    all_or_raise(
+        side_by_side(
+            wh.spark,
+            {
+                "mart_daily_sales": lambda: overwrite(
+                    "mart_daily_sales",
+                    marts.mart_daily_sales(
+                        t["fact_order_item"],
+                        t["dim_category"],
+                        t["fact_order"],
+                        t["fact_payment"],
+                        **reach("mart_daily_sales", week_ago),
+                    ),
+                    days,
+                ),
+                "mart_product_sales": lambda: overwrite(
+                    "mart_product_sales",
+                    marts.mart_product_sales(
+                        t["fact_order_item"],
+                        t["fact_order"],
+                        t["dim_product"],
+                        t["dim_category"],
+                        **reach("mart_product_sales", week_ago),
+                    ),
+                    days,
+                ),
+                "mart_customer_ltv": lambda: wh.mart.merge(
+                    "mart_customer_ltv",
+                    marts.mart_customer_ltv(
+                        t["fact_order"],
+                        t["fact_payment"],
+                        t["dim_customer"],
+                        **reach("mart_customer_ltv", today - timedelta(days=marts.LTV_LOOKBACK_DAYS)),
+                    ),
+                    target.key,
+                    target.layout,
+                ),
+            },
+        )
+    )
     overwrite(
         "mart_monthly_retention",
         marts.mart_monthly_retention(
@@ -254,36 +295,49 @@ def run_batch(spark: SparkSession, cfg: BatchConfig, source: Source) -> BatchRes
         windows[table] = (lower, cfg.end_watermark)
 
     state.started(cfg.batch_id, cfg.extract_date, windows, clock())
-    extracted: dict[str, dict] = {}
-    for table, (lower, upper) in windows.items():
-        try:
-            folder, rows = extract_table(wh, source, table, lower, upper, cfg, clock())
-        except Exception as problem:
-            extracted[table] = {"status": "extract_failed", "error_message": str(problem)}
-            state.finished(cfg.batch_id, extracted, clock())
-            raise
-        extracted[table] = {"uri": folder, "row_count": rows, "status": "extract_success"}
+    landed = side_by_side(
+        spark,
+        {
+            table: lambda table=table, lower=lower, upper=upper: extract_table(
+                wh, source, table, lower, upper, cfg, clock()
+            )
+            for table, (lower, upper) in windows.items()
+        },
+    )
+    extracted = {
+        table: {"status": "extract_failed", "error_message": str(done)}
+        if isinstance(done, Exception)
+        else {"uri": done[0], "row_count": done[1], "status": "extract_success"}
+        for table, done in landed.items()
+    }
     state.finished(cfg.batch_id, extracted, clock())
-
-    audit: list[dict] = []
-    try:
-        for table, done in extracted.items():
-            row = {
-                "batch_id": cfg.batch_id,
-                "source_table": table,
-                "uri": done["uri"],
-                "target_table": f"raw.{table}",
-                "started_at": clock(),
-            }
-            try:
-                rows = load_raw(wh, done["uri"], table, cfg.batch_id, clock())
-                audit.append({**row, "row_count": rows, "status": "raw_load_success", "finished_at": clock()})
-            except Exception as problem:
-                failed = {"status": "raw_load_failed", "error_message": str(problem), "finished_at": clock()}
-                audit.append({**row, **failed})
-                raise
-    finally:
-        state.audit_load(audit)
+    all_or_raise(landed)
+
+    started = clock()
+    loaded = side_by_side(
+        spark,
+        {
+            table: lambda table=table, done=done: load_raw(wh, done["uri"], table, cfg.batch_id, clock())
+            for table, done in extracted.items()
+        },
+    )
+    state.audit_load(
+        {
+            "batch_id": cfg.batch_id,
+            "source_table": table,
+            "uri": extracted[table]["uri"],
+            "target_table": f"raw.{table}",
+            "started_at": started,
+            "finished_at": clock(),
+            **(
+                {"status": "raw_load_failed", "error_message": str(rows)}
+                if isinstance(rows, Exception)
+                else {"status": "raw_load_success", "row_count": rows}
+            ),
+        }
+        for table, rows in loaded.items()
+    )
+    all_or_raise(loaded)
 
     test_layer(wh, "staging")
     build_core(wh)

@@ -1,12 +1,14 @@
 """The four marts as functions of core tables.
 
 `start` and `end` select the reporting range; `lookback_from` the first day of
-an incremental run. With neither, everything is built.
+an incremental run. With neither, everything is built. In a bounded run the
+tables that are joined to the selection are first reduced to its keys, so a
+daily run shuffles a day's share of the orders and payments and not all of them.
 """
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,6 +22,7 @@ from tidemark.functions import (
     not_deleted,
     safe_divide,
 )
+from tidemark.operators.reduce import only_matching
 from tidemark.plans.core import Target
 from tidemark.schemas import REVENUE_STATUSES
 from tidemark.sources.store import Layout
@@ -55,6 +58,18 @@ def in_range(df: DataFrame, col: str, start: date | None, end: date | None, look
     return df
 
 
+def is_bounded(start: date | None, end: date | None, lookback_from: date | None) -> bool:
+    return (start is not None and end is not None) or lookback_from is not None
+
+
+def _month_start(day: date | None) -> date | None:
+    return None if day is None else day.replace(day=1)
+
+
+def _month_end(day: date | None) -> date | None:
+    return None if day is None else (day.replace(day=28) + timedelta(days=4)).replace(day=1) - timedelta(days=1)
+
+
 def payments_per_order(payments: DataFrame) -> DataFrame:
     """Paid and refunded amount per order, so joins to orders do not fan out."""
     return (
@@ -85,6 +100,8 @@ def mart_daily_sales(
     product, so a hot order cannot fill a task.
     """
     chosen = in_range(items.where(not_deleted()), "order_date", start, end, lookback_from)
+    if is_bounded(start, end, lookback_from):
+        orders, payments = only_matching([orders, payments], chosen.select("order_id"))
     per_product = chosen.groupBy("order_id", "order_date", "category_id", "product_id").agg(
         F.sum("quantity").alias("quantity"),
         F.sum("item_amount").alias("item_amount"),
@@ -170,6 +187,8 @@ def mart_product_sales(
     chosen = in_range(items.where(not_deleted()), "order_date", start, end, lookback_from).withColumn(
         "category_id", F.coalesce("category_id", F.lit(UNKNOWN_CATEGORY_ID).cast("long"))
     )
+    if is_bounded(start, end, lookback_from):
+        (orders,) = only_matching([orders], chosen.select("order_id"))
     statuses = orders.where(not_deleted()).select("order_id", "order_status")
     grain = ["order_date", "product_id", "product_sk", "category_id"]
     per_order = (
@@ -226,6 +245,12 @@ def mart_customer_ltv(
     valid = orders.where(not_deleted() & F.col("order_status").isin(REVENUE_STATUSES)).select(
         "order_id", "customer_id", "order_date"
     )
+    if is_bounded(start, end, lookback_from):
+        # A customer whose last order is in range has an order in range.
+        (valid,) = only_matching(
+            [valid], in_range(valid, "order_date", start, end, lookback_from).select("customer_id")
+        )
+        (payments,) = only_matching([payments], valid.select("order_id"))
     totals = (
         valid.join(payments_per_order(payments), "order_id", "left")
         .groupBy("customer_id")
@@ -290,20 +315,23 @@ def mart_monthly_retention(
     A customer has one row per month, so counting rows counts customers, and a
     cohort's size is its own count in month 0: one pass over the orders.
     """
-    months = (
+    valid = (
         orders.where(not_deleted() & F.col("order_status").isin(REVENUE_STATUSES))
         .where(F.col("customer_id").isNotNull())
-        .select("customer_id", F.trunc("order_date", "month").alias("order_month"))
-        .distinct()
+        .select("customer_id", "order_date")
     )
+    first, last, since = _month_start(start), _month_end(end), _month_start(lookback_from)
+    if is_bounded(start, end, lookback_from):
+        # A customer of a cohort has an order in the cohort's month.
+        (valid,) = only_matching([valid], in_range(valid, "order_date", first, last, since).select("customer_id"))
+    months = valid.select("customer_id", F.trunc("order_date", "month").alias("order_month")).distinct()
     cohort = F.min("order_month").over(Window.partitionBy("customer_id"))
-    month_of = lambda d: None if d is None else d.replace(day=1)
     members = in_range(
         months.withColumn("cohort_month", cohort).where(F.col("order_month").isNotNull()),
         "cohort_month",
-        month_of(start),
-        month_of(end),
-        month_of(lookback_from),
+        first,
+        last,
+        since,
     )
     segments = ltv.select(F.col("customer_id").alias("__customer_id"), "customer_segment")
     cells = (

@@ -38,7 +38,8 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = {**RESULT_CONF, **PLAN_CONF, **(extra or {})}
+    tidy = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
+    conf = {**RESULT_CONF, **PLAN_CONF, **tidy, **(extra or {})}
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     for name, value in conf.items():

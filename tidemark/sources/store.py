@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.reduce import broadcast_if_small
+
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -220,10 +222,11 @@ class TableStore:
     def merge(self, name: str, source: DataFrame, keys: Sequence[str], layout: Layout = Layout()) -> None:
         """Keyed upsert that rewrites only the partitions holding old or new copies of a key.
 
-        The source is written first, so it is computed once. Old copies are
-        looked for by a semi join that reads the key columns alone; when the
-        partition columns are part of the key they can only be in the source's
-        own partitions and the search is left out. Partitions a key has left
+        The source is written first, so it is computed once and its size is
+        known. Old copies are looked for by a semi join that reads the key
+        columns alone and, for a source small enough to broadcast, moves no row
+        of the table. When the partition columns are part of the key, old copies
+        can only be in the source's own partitions and the search is left out. Partitions a key has left
         and that become empty disappear from the table.
         """
         if not self.exists(name):
@@ -235,20 +238,21 @@ class TableStore:
         cast = source.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in base.schema])
         cast.write.parquet(staged_path)
         staged = self.spark.read.schema(base.schema).parquet(staged_path)
+        new_keys = broadcast_if_small(staged.select(*keys), staged.count())  # counted from file footers
         if not layout.partition_by:
             old = self._read_parts(name, base, base.parts)
-            merged = old.join(staged.select(*keys), list(keys), "left_anti").select(*base.schema.names)
+            merged = old.join(new_keys, list(keys), "left_anti").select(*base.schema.names)
             self._commit(name, merged.unionByName(staged), layout, lambda *_: (), base)
         else:
             touched = partition_values(staged, layout)
             if not set(layout.partition_by) <= set(keys):
                 whole = self._read_parts(name, base, base.parts).select(*keys, *layout.partition_by)
-                matching = whole.join(staged.select(*keys), list(keys), "left_semi")
+                matching = whole.join(new_keys, list(keys), "left_semi")
                 touched |= partition_values(matching, layout)
             rewritten = [p for p in base.parts if p[0] in touched]
             untouched = [p for p in base.parts if p[0] not in touched]
             old = self._read_parts(name, base, rewritten)
-            merged = old.join(staged.select(*keys), list(keys), "left_anti").select(*base.schema.names)
+            merged = old.join(new_keys, list(keys), "left_anti").select(*base.schema.names)
             self._commit(name, merged.unionByName(staged), layout, lambda *_: untouched, base)
         path = self._path(name, staged_path.rsplit("/", 1)[1])
         self._fs(path).delete(path, True)
