@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import loaded_at
-from tidemark.operators.incremental import high_water_mark, stamp_lineage
+from tidemark.operators.incremental import stamp_lineage
 from tidemark.operators.reduce import only_matching
 from tidemark.plans import core, marts
 from tidemark.plans.control import ControlState
@@ -137,7 +137,7 @@ def build_core(wh: Warehouse) -> None:
         wh.core.merge(name, df, target.key, target.layout)
 
     def incremental(name: str, table: str) -> DataFrame:
-        return wh.staging(table, high_water_mark(wh.core.read_or_none(name)))
+        return wh.staging(table, wh.core.high_water(name))
 
     def run(**tasks: Callable[[], None]) -> None:
         all_or_raise(side_by_side(wh.spark, tasks))

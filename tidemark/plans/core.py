@@ -28,19 +28,22 @@ class Target:
     layout: Layout = Layout()
 
 
+# Incremental loads start at the greatest change time a table holds.
+CHANGED = "updated_at"
+
 TARGETS = {
-    "dim_category": Target(("category_id",)),
-    "dim_coupon": Target(("coupon_id",)),
+    "dim_category": Target(("category_id",), Layout(track=CHANGED)),
+    "dim_coupon": Target(("coupon_id",), Layout(track=CHANGED)),
     "dim_customer": Target(("customer_sk",)),
     "dim_product": Target(("product_sk",)),
-    "fact_order": Target(("order_id",), Layout(("order_date",), ("customer_id", "order_status"))),
-    "fact_order_item": Target(("order_item_id",), Layout(("order_date",), ("product_id", "category_id"))),
-    "fact_payment": Target(("payment_id",), Layout(("payment_date",), ("payment_status", "payment_method"))),
-    "fact_shipment": Target(("shipment_id",)),
+    "fact_order": Target(("order_id",), Layout(("order_date",), ("customer_id", "order_status"), CHANGED)),
+    "fact_order_item": Target(("order_item_id",), Layout(("order_date",), ("product_id", "category_id"), CHANGED)),
+    "fact_payment": Target(("payment_id",), Layout(("payment_date",), ("payment_status", "payment_method"), CHANGED)),
+    "fact_shipment": Target(("shipment_id",), Layout(track=CHANGED)),
     "fact_inventory_snapshot": Target(
-        ("snapshot_date", "product_id"), Layout(("snapshot_date",), ("product_id", "category_id"))
+        ("snapshot_date", "product_id"), Layout(("snapshot_date",), ("product_id", "category_id"), CHANGED)
     ),
-    "fact_order_status_history": Target(("order_status_history_id",)),
+    "fact_order_status_history": Target(("order_status_history_id",), Layout(track=CHANGED)),
 }
 
 

@@ -13,11 +13,12 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
+from datetime import datetime
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,10 +29,12 @@ NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 @dataclass(frozen=True)
 class Layout:
-    """Partition columns and the columns files are sorted by inside a partition."""
+    """Partition columns, the columns files are sorted by inside a partition, and
+    optionally a timestamp whose greatest value per partition is kept in the list."""
 
     partition_by: tuple[str, ...] = ()
     cluster_by: tuple[str, ...] = ()
+    track: str | None = None
 
 
 @dataclass(frozen=True)
@@ -40,6 +43,7 @@ class Snapshot:
     schema: T.StructType
     layout: Layout
     parts: tuple[tuple[tuple[str, ...], str], ...]  # (partition values as text, relative path)
+    tops: Mapping[str, str] = field(default_factory=dict)  # greatest tracked value by relative path
 
 
 class ConcurrentWrite(RuntimeError):
@@ -89,8 +93,9 @@ class TableStore:
         return Snapshot(
             version,
             T.StructType.fromJson(data["schema"]),
-            Layout(tuple(data["partition_by"]), tuple(data["cluster_by"])),
+            Layout(tuple(data["partition_by"]), tuple(data["cluster_by"]), data["track"]),
             tuple((tuple(values), rel) for values, rel in data["parts"]),
+            data["tops"],
         )
 
     def _publish(self, name: str, snapshot: Snapshot) -> None:
@@ -100,7 +105,9 @@ class TableStore:
                 "schema": snapshot.schema.jsonValue(),
                 "partition_by": snapshot.layout.partition_by,
                 "cluster_by": snapshot.layout.cluster_by,
+                "track": snapshot.layout.track,
                 "parts": snapshot.parts,
+                "tops": dict(snapshot.tops),
             }
         )
         target = self._path(name, "_log", f"{snapshot.version:012d}.json")
@@ -131,6 +138,16 @@ class TableStore:
     def read_or_none(self, name: str) -> DataFrame | None:
         return self.read(name) if self.exists(name) else None
 
+    def high_water(self, name: str) -> datetime | None:
+        """Greatest value of the tracked column, from the list: no data is read."""
+        if not self.exists(name):
+            return None
+        snap = self.snapshot(name)
+        if snap.layout.track is None:
+            raise ValueError(f"table {name} tracks no column")
+        tops = [snap.tops[rel] for _, rel in snap.parts if snap.tops.get(rel)]
+        return datetime.fromisoformat(max(tops)) if tops else None
+
     # -- writing ---------------------------------------------------------------
 
     def _write_files(self, name: str, df: DataFrame, layout: Layout, version: int) -> list[tuple[tuple[str, ...], str]]:
@@ -180,15 +197,31 @@ class TableStore:
         schema = base.schema if base else nullable(df.schema)
         written = self._write_files(name, df, layout, version)
         kept = keep(base, {values for values, _ in written}) if base else []
-        snap = Snapshot(version, schema, layout, tuple([*kept, *written]))
+        tops = self._tops(name, schema, layout, written)
+        if base:
+            tops |= {rel: base.tops[rel] for _, rel in kept if rel in base.tops}
+        snap = Snapshot(version, schema, layout, tuple([*kept, *written]), tops)
         self._publish(name, snap)
         return snap
 
+    def _tops(self, name: str, schema: T.StructType, layout: Layout, written) -> dict[str, str]:
+        """Greatest tracked value per written partition: a narrow scan of the new files only."""
+        if layout.track is None or not written:
+            return {}
+        new = self._read_parts(name, Snapshot(0, schema, layout, ()), written)
+        grouped = new.groupBy(*partition_text(layout)).agg(
+            F.date_format(F.max(layout.track), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("__top")
+        )
+        found = {tuple(row)[:-1]: row["__top"] for row in grouped.collect()}  # one row per partition
+        return {rel: found[values] for values, rel in written if found.get(values)}
+
     def overwrite(self, name: str, df: DataFrame, layout: Layout = Layout()) -> None:
         """Replace the whole table, its schema and its layout."""
         version = self.versions(name)[-1] + 1 if self.exists(name) else 1
         written = self._write_files(name, df, layout, version)
-        self._publish(name, Snapshot(version, nullable(df.schema), layout, tuple(written)))
+        schema = nullable(df.schema)
+        tops = self._tops(name, schema, layout, written)
+        self._publish(name, Snapshot(version, schema, layout, tuple(written), tops))
 
     def append(self, name: str, df: DataFrame, layout: Layout = Layout()) -> None:
         self._commit(name, df, layout, lambda base, _: base.parts)
@@ -276,7 +309,10 @@ def nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
 
 
+def partition_text(layout: Layout) -> list[Column]:
+    return [F.coalesce(F.col(c).cast("string"), F.lit(NULL_PARTITION)).alias(c) for c in layout.partition_by]
+
+
 def partition_values(df: DataFrame, layout: Layout) -> set[tuple[str, ...]]:
     """Distinct partition values as path text; their number is that of the table's partitions."""
-    as_text = [F.coalesce(F.col(c).cast("string"), F.lit(NULL_PARTITION)).alias(c) for c in layout.partition_by]
-    return {tuple(row) for row in df.select(*as_text).distinct().collect()}
+    return {tuple(row) for row in df.select(*partition_text(layout)).distinct().collect()}
