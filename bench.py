@@ -21,11 +21,11 @@ HEADLINE = [
     "stg_order_items",
     "stg_inventory_snapshots",
     "scd2_initial_history",
-    "scd2_incremental_events",
+    "scd2_incremental",
     "fact_order_asof",
     "fact_order_item_asof",
     "asof_join_shipments",
-    "merge_upsert_orders",
+    "merge_upsert",
     "merge_moved_partition",
     "partition_overwrite",
     "mart_daily_sales",

@@ -28,7 +28,8 @@ class Target:
     layout: Layout = Layout()
 
 
-# Incremental loads start at the greatest change time a table holds.
+# Incremental loads start at the greatest change time a table holds. Every fact is
+# partitioned by a date, so that an upsert leaves the files of old dates alone.
 CHANGED = "updated_at"
 
 TARGETS = {
@@ -39,11 +40,13 @@ TARGETS = {
     "fact_order": Target(("order_id",), Layout(("order_date",), ("customer_id", "order_status"), CHANGED)),
     "fact_order_item": Target(("order_item_id",), Layout(("order_date",), ("product_id", "category_id"), CHANGED)),
     "fact_payment": Target(("payment_id",), Layout(("payment_date",), ("payment_status", "payment_method"), CHANGED)),
-    "fact_shipment": Target(("shipment_id",), Layout(track=CHANGED)),
+    "fact_shipment": Target(("shipment_id",), Layout(("shipped_date",), ("order_id",), CHANGED)),
     "fact_inventory_snapshot": Target(
         ("snapshot_date", "product_id"), Layout(("snapshot_date",), ("product_id", "category_id"), CHANGED)
     ),
-    "fact_order_status_history": Target(("order_status_history_id",), Layout(track=CHANGED)),
+    "fact_order_status_history": Target(
+        ("order_status_history_id",), Layout(("changed_date",), ("order_id", "new_status"), CHANGED)
+    ),
 }
 
 

@@ -161,10 +161,10 @@ def row_count_not_below(
     """1 if the raw table has fewer distinct keys than `table`."""
 
     def count(tables: Tables) -> DataFrame:
-        raw_n = tables[raw].agg(F.count_distinct(key).alias("raw_n"))
-        core_n = tables[table].agg(F.count_distinct(key).alias("core_n"))
-        # One row on each side.
-        return raw_n.crossJoin(core_n).select((F.col("raw_n") < F.col("core_n")).cast("long").alias(FAILED))
+        sides = [tables[t].select(key, F.lit(t == table).alias("__core")) for t in (raw, table)]
+        keys = sides[0].unionByName(sides[1]).where(F.col(key).isNotNull()).distinct()
+        counts = keys.agg(F.count_if(~F.col("__core")).alias("raw_n"), F.count_if("__core").alias("core_n"))
+        return counts.select((F.col("raw_n") < F.col("core_n")).cast("long").alias(FAILED))
 
     return Check(name or f"{raw}_to_{table}_row_count", "row_count", dataset, table, severity, count=count)
 

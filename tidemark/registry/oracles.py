@@ -326,7 +326,7 @@ SQL["scd2_initial_deduped"] = ctes(f"""
         select *, {CUSTOMER_SK} as customer_sk, updated_at as effective_from, {OPEN} as effective_to,
             true as is_current
         from (select *, {CUSTOMER_HASH} as row_hash from stg_customer_log))""")
-SQL["scd2_incremental_events"] = ctes(f"""
+SQL["scd2_incremental"] = ctes(f"""
     select {VERSION_OUT} from (
         with hashed as (select *, {CUSTOMER_HASH} as row_hash from (
             select customer_id, customer_name, lower(email) as email, phone_number, address, customer_grade,
@@ -383,7 +383,7 @@ SQL["fact_order_status_history"] = ctes(f"""
         cast(changed_at as date) as changed_date, change_reason, {FACTS_TAIL} from stg_order_status_history""")
 
 ORDER_MONTH = "cast(date_trunc('month', o_orderdate) as date)"
-SQL["merge_upsert_orders"] = f"""
+SQL["merge_upsert"] = f"""
     select o_orderkey as order_id, o_orderstatus as order_status, {ORDER_MONTH} as order_month,
         cast(case when o_orderstatus = 'P' then {MONEY.format('o_totalprice')} else 1 end as decimal(38,2))
             as total_amount

@@ -68,9 +68,11 @@ def query(fn: Query) -> Query:
         pin_result_settings(spark)
         return comparable(fn(spark, sf_dir))
 
-    run.__name__ = fn.__name__
+    # A trailing underscore keeps a query apart from the operator of that name.
+    name = fn.__name__.rstrip("_")
+    run.__name__ = name
     run.__doc__ = fn.__doc__
-    REGISTRY[fn.__name__] = run
+    REGISTRY[name] = run
     return run
 
 
@@ -227,7 +229,7 @@ def scd2_initial_deduped(spark, sf_dir):
 
 
 @query
-def scd2_incremental_events(spark, sf_dir):
+def scd2_incremental_(spark, sf_dir):
     """A dimension of the users seen on the first day, then the whole log: new, changed and equal users."""
     log = customer_log(spark, sf_dir)
     early = log.where(F.col("updated_at") < utc("2024-01-02"))
@@ -349,7 +351,7 @@ def _order_rows(spark, sf_dir) -> DataFrame:
 
 
 @query
-def merge_upsert_orders(spark, sf_dir):
+def merge_upsert_(spark, sf_dir):
     """Orders in progress and open ones are stored; then finished and open ones arrive, the latter changed."""
     rows = _order_rows(spark, sf_dir)
     store = TableStore(spark, shared_folder(spark, "merge"))
@@ -574,7 +576,7 @@ def dq_mart_reconcile(spark, sf_dir):
 
 @query
 def dq_freshness(spark, sf_dir):
-    """Events against a clock two days after the last event type of interest would be fresh."""
+    """Newest purchase and newest click against a limit of one and of three days."""
     df = load(spark, sf_dir, "events")
     as_of = datetime(2024, 2, 1)
     rows = None
