@@ -102,6 +102,10 @@ def mart_daily_sales(
     chosen = in_range(items.where(not_deleted()), "order_date", start, end, lookback_from)
     if is_bounded(start, end, lookback_from):
         orders, payments = only_matching([orders, payments], chosen.select("order_id"))
+    if categories.where(F.col("category_id") == UNKNOWN_CATEGORY_ID).isEmpty():
+        # The stand-in id is no category of its own, so such items belong to the unknown ones.
+        known = F.col("category_id") != UNKNOWN_CATEGORY_ID
+        chosen = chosen.withColumn("category_id", F.when(known, F.col("category_id")))
     per_product = chosen.groupBy("order_id", "order_date", "category_id", "product_id").agg(
         F.sum("quantity").alias("quantity"),
         F.sum("item_amount").alias("item_amount"),
