@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import DigestIndex
+from tidemark.llm.simhash import near_components
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,8 +20,15 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return DigestIndex.scratch(spark).assign(docs, "documents")
 
 
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 3-word SimHash fingerprints differ in at most 3 bits."""
+    found = near_components(table(spark, sf_dir, "documents"), words=3, turns=1, bits=3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("w0"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 REGISTRY: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_simhash_near_dedup": op3_simhash_near_dedup,
 }
 
 SQL: dict[str, str] = {
