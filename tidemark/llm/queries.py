@@ -4,15 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm import bpe, packing
 from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import DigestIndex
 from tidemark.llm.simhash import near_components
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+ENCODER = (
+    public_tokenizers.path("byte_bpe_50k.json"),
+    public_tokenizers.path("byte_bpe_50k.tiktoken"),
+    public_tokenizers.PATTERN,
+)
+
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as one batch of a new digest index."""
@@ -26,9 +34,22 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("w0"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token pieces in sequences of 2048."""
+    return packing.pack(table(spark, sf_dir, "documents"), ENCODER, packing.CAPACITY)
+
+
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded again, as digests."""
+    vocabulary = bpe.load_vocabulary(ENCODER[1], ENCODER[2])
+    return bpe.encode_digests(table(spark, sf_dir, "documents"), vocabulary)
+
+
 REGISTRY: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_best_fit_packing": op4_best_fit_packing,
+    "op7_byte_bpe": op7_byte_bpe,
 }
 
 SQL: dict[str, str] = {
