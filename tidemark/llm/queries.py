@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, packing
+from tidemark.llm import bpe, packing, sharding, suffix_dedup
 from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import DigestIndex
 from tidemark.llm.simhash import near_components
@@ -45,11 +45,36 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-byte strings that a document with a smaller id has."""
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), 50)
+
+
+def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards along a Hilbert curve through source, language and length."""
+    docs = table(spark, sf_dir, "documents")
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(
+        "doc_id",
+        "source",
+        "lang",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+    )
+    order = ["doc_id", "text_crc32", "size", "source", "lang"]
+    placed = sharding.curve_shards(rows, ["source", "lang", "size"], 16, order)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 REGISTRY: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op7_byte_bpe": op7_byte_bpe,
+    "op9_suffix_dedup": op9_suffix_dedup,
+    "op10_hilbert_shards": op10_hilbert_shards,
 }
 
 SQL: dict[str, str] = {
