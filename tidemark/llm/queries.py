@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, packing, sharding, suffix_dedup
+from tidemark.llm import bpe, html_extract, packing, sharding, suffix_dedup
 from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import DigestIndex
 from tidemark.llm.simhash import near_components
@@ -45,6 +45,12 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.main_text(pages, html_extract.train(pages))
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the 50-byte strings that a document with a smaller id has."""
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), 50)
@@ -73,6 +79,7 @@ REGISTRY: dict[str, Query] = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_html_extract": op8_html_extract,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_hilbert_shards": op10_hilbert_shards,
 }
