@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, html_extract, packing, sharding, suffix_dedup
+from tidemark.llm import bpe, html_extract, langid, packing, secret_scan, sharding, suffix_dedup
 from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import DigestIndex
 from tidemark.llm.simhash import near_components
@@ -39,6 +39,19 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), ENCODER, packing.CAPACITY)
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every page; the text model is fitted on labelled documents."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    model = langid.train(table(spark, sf_dir, "documents"))
+    return langid.page_languages(pages, model).drop("html")
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets in every document."""
+    docs = table(spark, sf_dir, "documents")
+    return secret_scan.scan(docs, secret_scan.train(docs))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again, as digests."""
     vocabulary = bpe.load_vocabulary(ENCODER[1], ENCODER[2])
@@ -78,6 +91,8 @@ REGISTRY: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_language_id": op5_language_id,
+    "op6_secret_scan": op6_secret_scan,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_html_extract": op8_html_extract,
     "op9_suffix_dedup": op9_suffix_dedup,
