@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, html_extract, langid, packing, secret_scan, sharding, suffix_dedup
+from tidemark.llm import ann, bpe, html_extract, langid, packing, secret_scan, sharding, suffix_dedup
 from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import DigestIndex
 from tidemark.llm.simhash import near_components
@@ -28,6 +28,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return DigestIndex.scratch(spark).assign(docs, "documents")
 
 
+def op2_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest other vectors of every vector whose id is divisible by 20."""
+    return ann.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 3-word SimHash fingerprints differ in at most 3 bits."""
     found = near_components(table(spark, sf_dir, "documents"), words=3, turns=1, bits=3)
@@ -89,6 +94,7 @@ def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_learned_partitions": op2_learned_partitions,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_language_id": op5_language_id,
