@@ -10,6 +10,7 @@ from tidemark.functions.measures import (
     not_deleted,
     parse_utc,
     safe_divide,
+    share_of,
     utc,
     utc_like,
 )
@@ -24,6 +25,7 @@ __all__ = [
     "not_deleted",
     "parse_utc",
     "safe_divide",
+    "share_of",
     "surrogate_key",
     "utc",
     "utc_like",

@@ -27,6 +27,16 @@ def divide_exact(numerator: Column, denominator: Column, precision: int = 17) ->
     return F.try_divide(numerator, denominator).cast(f"decimal({precision},9)")
 
 
+def share_of(amount: Column, part: Column, whole: Column) -> Column:
+    """`amount * part / whole`, rounded once to nine digits; NULL when `whole` is zero.
+
+    The operands are sums of money below 10 ** 15 of either sign. The product is
+    exact, and its 27 digits left of the point leave the quotient room for nine.
+    """
+    product = amount.cast("decimal(17,2)") * part.cast("decimal(17,2)")
+    return F.try_divide(product.cast("decimal(31,4)"), whole.cast("decimal(17,2)")).cast("decimal(38,9)")
+
+
 def not_deleted(name: str = "is_deleted") -> Column:
     """True unless the flag is true: rows with an unknown flag are kept."""
     return ~F.coalesce(F.col(name), F.lit(False))

@@ -21,6 +21,7 @@ from tidemark.functions import (
     months_between_starts,
     not_deleted,
     safe_divide,
+    share_of,
 )
 from tidemark.operators.reduce import only_matching
 from tidemark.plans.core import Target
@@ -94,55 +95,57 @@ def mart_daily_sales(
 ) -> DataFrame:
     """Sales per day and category; payments are shared out by each category's part of its order.
 
-    Items shrink to (order, category, product) before they are moved by order.
-    From there one partitioning by order serves the category totals, the order
-    total (a window) and both joins. An order's rows are then at most one per
-    product, so a hot order cannot fill a task.
+    Items move once, by order: that partitioning serves the distinct products, the
+    category totals, the order total (a window) and both joins. Items without an
+    order have no order total, status or payment; they are summed apart, so their
+    shared NULL key is no hot partition.
     """
     chosen = in_range(items.where(not_deleted()), "order_date", start, end, lookback_from)
     if is_bounded(start, end, lookback_from):
         orders, payments = only_matching([orders, payments], chosen.select("order_id"))
-    if categories.where(F.col("category_id") == UNKNOWN_CATEGORY_ID).isEmpty():
-        # The stand-in id is no category of its own, so such items belong to the unknown ones.
-        known = F.col("category_id") != UNKNOWN_CATEGORY_ID
-        chosen = chosen.withColumn("category_id", F.when(known, F.col("category_id")))
-    per_product = chosen.groupBy("order_id", "order_date", "category_id", "product_id").agg(
-        F.sum("quantity").alias("quantity"),
-        F.sum("item_amount").alias("item_amount"),
-        F.sum("discount_amount").alias("discount_amount"),
-    )
-    per_category = (
-        per_product.repartition("order_id")
-        .groupBy("order_id", "order_date", "category_id")
-        .agg(
-            F.count("product_id").alias("product_count"),
-            F.sum("quantity").alias("quantity_sold"),
-            F.sum("item_amount").cast("decimal(22,2)").alias("category_amount"),
-            F.sum("discount_amount").cast("decimal(22,2)").alias("item_discount_amount"),
-        )
+    # Items without a category and items of the stand-in id are one group when both are called unknown.
+    stand_in = categories.where(F.col("category_id") == UNKNOWN_CATEGORY_ID).agg(F.max("category_name")).scalar()
+    one_group = F.coalesce(stand_in, F.lit(UNKNOWN)) == UNKNOWN
+    nameless = F.col("category_id").isNull() & one_group
+    chosen = chosen.withColumn(
+        "category_id",
+        F.when(nameless, F.lit(UNKNOWN_CATEGORY_ID).cast("long")).otherwise(F.col("category_id")),
+    ).select(
+        "order_id", "order_date", "category_id", "product_id", "quantity", "item_amount", "discount_amount"
     )
+    sums = [
+        F.count_distinct("product_id").alias("product_count"),
+        F.sum("quantity").alias("quantity_sold"),
+        F.sum("item_amount").cast("decimal(22,2)").alias("category_amount"),
+        F.sum("discount_amount").cast("decimal(22,2)").alias("item_discount_amount"),
+    ]
+    in_orders = chosen.where(F.col("order_id").isNotNull()).repartition("order_id")
+    per_category = in_orders.groupBy("order_id", "order_date", "category_id").agg(*sums)
     order_total = F.sum("category_amount").over(Window.partitionBy("order_id"))
-    # An item without an order belongs to no order total.
-    with_total = per_category.withColumn(
-        "order_amount", F.when(F.col("order_id").isNotNull(), order_total).cast("decimal(22,2)")
-    )
+    with_total = per_category.withColumn("order_amount", order_total.cast("decimal(17,2)"))
     statuses = orders.where(not_deleted()).select("order_id", "order_status")
     joined = with_total.join(statuses, "order_id", "left").join(payments_per_order(payments), "order_id", "left")
-    share = divide_exact(F.col("category_amount"), F.col("order_amount"))
 
     def allocated(amount: str) -> Column:
-        paid = F.coalesce(F.col(amount), F.lit(0)).cast("decimal(20,2)")
-        return F.sum((paid * share).cast("decimal(38,9)"))
+        return share_of(F.coalesce(F.col(amount), F.lit(0)), F.col("category_amount"), F.col("order_amount")).alias(amount)
 
-    per_day = joined.groupBy("order_date", "category_id").agg(
-        F.count("order_id").alias("order_count"),
-        F.sum("product_count").alias("product_count"),
-        F.sum("quantity_sold").alias("quantity_sold"),
-        F.sum("category_amount").alias("gross_item_revenue"),
-        F.sum("item_discount_amount").alias("item_discount_amount"),
-        allocated("paid_amount").alias("allocated_paid_amount"),
-        allocated("refunded_amount").alias("allocated_refunded_amount"),
-        conditional_sum("category_amount", "order_status", REVENUE_STATUSES).alias("daily_revenue"),
+    shared = joined.withColumn("in_order", F.lit(1)).withColumns(
+        {a: allocated(a) for a in ("paid_amount", "refunded_amount")}
+    )
+    apart = chosen.where(F.col("order_id").isNull()).groupBy("order_date", "category_id").agg(*sums)
+    per_day = (
+        shared.unionByName(apart, allowMissingColumns=True)
+        .groupBy("order_date", "category_id")
+        .agg(
+            F.count("in_order").alias("order_count"),
+            F.sum("product_count").alias("product_count"),
+            F.sum("quantity_sold").alias("quantity_sold"),
+            F.sum("category_amount").alias("gross_item_revenue"),
+            F.sum("item_discount_amount").alias("item_discount_amount"),
+            F.sum("paid_amount").alias("allocated_paid_amount"),
+            F.sum("refunded_amount").alias("allocated_refunded_amount"),
+            conditional_sum("category_amount", "order_status", REVENUE_STATUSES).alias("daily_revenue"),
+        )
     )
     return _with_category(per_day, categories).select(
         F.col("order_date").alias("sales_date"),
@@ -184,9 +187,9 @@ def mart_product_sales(
     """Sales per day and product version.
 
     `items` has one row per order_item_id (its merge key), so items are counted
-    without a distinct. They shrink to (product, order) before they are moved by
-    order, and attributes are joined after aggregation, by keys that are unique
-    in their dimensions.
+    without a distinct. They move once, by order, and attributes are joined after
+    aggregation, by keys that are unique in their dimensions. Items without an
+    order are summed apart.
     """
     chosen = in_range(items.where(not_deleted()), "order_date", start, end, lookback_from).withColumn(
         "category_id", F.coalesce("category_id", F.lit(UNKNOWN_CATEGORY_ID).cast("long"))
@@ -195,17 +198,22 @@ def mart_product_sales(
         (orders,) = only_matching([orders], chosen.select("order_id"))
     statuses = orders.where(not_deleted()).select("order_id", "order_status")
     grain = ["order_date", "product_id", "product_sk", "category_id"]
+    chosen = chosen.select("order_id", *grain, "order_item_id", "quantity", "item_amount", "discount_amount")
+    sums = [
+        F.count("order_item_id").alias("order_item_count"),
+        F.sum("quantity").alias("quantity"),
+        F.sum("item_amount").alias("item_amount"),
+        F.sum("discount_amount").alias("discount_amount"),
+    ]
     per_order = (
-        chosen.groupBy(*grain, "order_id")
-        .agg(
-            F.count("order_item_id").alias("order_item_count"),
-            F.sum("quantity").alias("quantity"),
-            F.sum("item_amount").alias("item_amount"),
-            F.sum("discount_amount").alias("discount_amount"),
-        )
+        chosen.where(F.col("order_id").isNotNull())
+        .repartition("order_id")
+        .groupBy("order_id", *grain)
+        .agg(*sums)
         .join(statuses, "order_id", "left")
     )
-    per_day = per_order.groupBy(*grain).agg(
+    apart = chosen.where(F.col("order_id").isNull()).groupBy(*grain).agg(*sums)
+    per_day = per_order.unionByName(apart, allowMissingColumns=True).groupBy(*grain).agg(
         F.count("order_id").alias("order_count"),
         F.sum("order_item_count").alias("order_item_count"),
         F.sum("quantity").alias("quantity_sold"),
@@ -245,14 +253,14 @@ def mart_customer_ltv(
     end: date | None = None,
     lookback_from: date | None = None,
 ) -> DataFrame:
-    """Lifetime value and segment per customer, over orders that count as revenue."""
+    """Lifetime value and segment per customer, over orders that count as revenue (one row per order)."""
     valid = orders.where(not_deleted() & F.col("order_status").isin(REVENUE_STATUSES)).select(
         "order_id", "customer_id", "order_date"
     )
     if is_bounded(start, end, lookback_from):
-        # A customer whose last order is in range has an order in range.
+        # A customer whose last order is in range has an order in range; orders without a customer are one such group.
         (valid,) = only_matching(
-            [valid], in_range(valid, "order_date", start, end, lookback_from).select("customer_id")
+            [valid], in_range(valid, "order_date", start, end, lookback_from).select("customer_id"), nulls_match=True
         )
         (payments,) = only_matching([payments], valid.select("order_id"))
     totals = (
@@ -261,7 +269,7 @@ def mart_customer_ltv(
         .agg(
             F.min("order_date").alias("first_order_date"),
             F.max("order_date").alias("last_order_date"),
-            F.count_distinct("order_id").alias("lifetime_order_count"),
+            F.count("order_id").alias("lifetime_order_count"),
             F.sum(F.coalesce("paid_amount", F.lit(0).cast("decimal(22,2)"))).alias("lifetime_paid_amount"),
             F.sum(F.coalesce("refunded_amount", F.lit(0).cast("decimal(22,2)"))).alias("lifetime_refunded_amount"),
         )
