@@ -82,7 +82,10 @@ def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.n
         first = np.concatenate([[0], change])
         last = np.concatenate([change, [windows]]) - 1
         position = place[first].astype(np.int64)
-        parts.append((first + at, last + at, position + at, hashes[position]))
+        # The smallest hash of a window is a small number; mixed again, buckets get even shares.
+        mixed = hashes[position] * np.uint64(0xD6E8FEB86659FD93)
+        mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        parts.append((first + at, last + at, position + at, mixed))
     if not parts:
         empty = np.empty(0, dtype=np.int64)
         return empty, empty, empty, empty.astype(np.uint64)
@@ -193,7 +196,7 @@ def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
 
 ANCHORS = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("hashes", pa.binary())])
 SHARED = pa.schema([("block", pa.int64()), ("hashes", pa.binary())])
-PIECES = pa.schema([("bucket", pa.int64()), ("block", pa.int64())] + [(n, pa.binary()) for n in ("keys", "rows", "starts", "sizes", "text")])
+PIECES = pa.schema([("bucket", pa.int64()), ("block", pa.int64())] + [(n, pa.binary()) for n in ("keys", "rows", "starts", "sizes", "places", "text")])
 CUTS = pa.schema([("block", pa.int64())] + [(n, pa.binary()) for n in ("rows", "starts", "ends")])
 RESULTS = pa.schema([("digest", pa.binary()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
 
@@ -241,11 +244,12 @@ def send_pieces(table: pa.Table, shared: pa.Table, block: int, length: int, buck
     keys = [k for k, _ in own.rows]
     to = bucket_of(own.hash[wanted], buckets).tolist()
     first, last, row = own.first[wanted].tolist(), own.last[wanted].tolist(), own.row[wanted].tolist()
+    place = (own.position - own.first)[wanted].tolist()
     seen: dict[bytes, int] = {}
     out: dict[int, list] = {}
     cut_rows, cut_starts, cut_ends = [], [], []
     # Rows ascend by key, so the first to bring a stretch has the smallest id of the block.
-    for b, a, z, r in zip(to, first, last, row):
+    for b, a, z, r, p in zip(to, first, last, row, place):
         text = own.texts[r][a : z + length]
         key = keys[r]
         if seen.setdefault(text, key) < key:
@@ -253,11 +257,11 @@ def send_pieces(table: pa.Table, shared: pa.Table, block: int, length: int, buck
             cut_starts.append(a)
             cut_ends.append(z + length)
         else:
-            out.setdefault(b, []).append((key, r, a, len(text), text))
+            out.setdefault(b, []).append((key, r, a, len(text), p, text))
     pieces = []
     for b, found in out.items():
-        k, r, a, n, t = zip(*found)
-        pieces.append((b, block, _ints(k, "<i8"), _ints(r, "<i4"), _ints(a, "<i8"), _ints(n, "<i4"), b"".join(t)))
+        k, r, a, n, p, t = zip(*found)
+        pieces.append((b, block, _ints(k, "<i8"), _ints(r, "<i4"), _ints(a, "<i8"), _ints(n, "<i4"), _ints(p, "<i4"), b"".join(t)))
     cuts = [(block, _ints(cut_rows, "<i4"), _ints(cut_starts, "<i8"), _ints(cut_ends, "<i8"))] if cut_rows else []
     return pieces, cuts
 
@@ -267,7 +271,8 @@ def find_repeats(table: pa.Table, length: int) -> pa.Table:
     blocks, keys, rows, starts, sizes = [], [], [], [], []
     numbers: dict[bytes, int] = {}
     which: list[int] = []
-    for block, k, r, a, n, text in zip(*(table[c].to_pylist() for c in ("block", "keys", "rows", "starts", "sizes", "text"))):
+    by_anchor: dict[bytes, list[int]] = {}
+    for block, k, r, a, n, p, text in zip(*(table[c].to_pylist() for c in ("block", *PIECES.names[2:]))):
         n = np.frombuffer(n, dtype="<i4")
         blocks.append(np.full(len(n), block))
         keys.append(np.frombuffer(k, dtype="<i8"))
@@ -275,8 +280,11 @@ def find_repeats(table: pa.Table, length: int) -> pa.Table:
         starts.append(np.frombuffer(a, dtype="<i8"))
         sizes.append(n)
         at = 0
-        for size in n.tolist():
-            which.append(numbers.setdefault(text[at : at + size], len(numbers)))
+        for size, place in zip(n.tolist(), np.frombuffer(p, dtype="<i4").tolist()):
+            number = numbers.setdefault(text[at : at + size], len(numbers))
+            which.append(number)
+            if number == len(numbers) - 1:
+                by_anchor.setdefault(text[at + place : at + place + GRAM], []).append(number)
             at += size
     block, key, row, start, size = (np.concatenate(x) for x in (blocks, keys, rows, starts, sizes))
     which = np.array(which)
@@ -288,11 +296,7 @@ def find_repeats(table: pa.Table, length: int) -> pa.Table:
     out_start = [np.zeros(int(later.sum()), dtype=np.int64)]
     out_end = [size[later].astype(np.int64)]
     # Distinct stretches with the same anchor can share some of their windows; one that is alone with its anchor cannot.
-    by_anchor: dict[bytes, list[int]] = {}
-    for k, text in enumerate(texts):
-        raw = np.frombuffer(text, dtype=np.uint8)
-        by_anchor.setdefault(text[(p := int(anchors(raw, length)[2][0])) : p + GRAM], []).append(k)
-    compare = np.array(sorted(k for g in by_anchor.values() if len(g) > 1 for k in g), dtype=np.int64)
+    compare = np.array(sorted(k for g in map(set, by_anchor.values()) if len(g) > 1 for k in g), dtype=np.int64)
     if len(compare):
         hits = earlier_windows([texts[k] for k in compare], least[compare], length)
         some = [i for i, h in enumerate(hits) if len(h)]
@@ -396,7 +400,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id"
             return _table([], both)
         block = left["block"][0].as_py()
         found, cuts = send_pieces(left, right, block, length, buckets)
-        return _table([(*x, None) for x in found] + [(None, b, None, r, s, None, None, e) for b, r, s, e in cuts], both)
+        return _table([(*x, None) for x in found] + [(None, b, None, r, s, None, None, None, e) for b, r, s, e in cuts], both)
 
     both = PIECES.append(pa.field("ends", pa.binary()))
     mixed = stored(texts.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(pieces, _ddl(both)), "text-pieces")
