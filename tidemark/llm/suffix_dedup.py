@@ -107,7 +107,7 @@ def rotations(text: np.ndarray, depth: int) -> np.ndarray:
     word = np.ndarray(n, dtype=">u8", buffer=around, strides=(1,)).astype(np.uint64)
     done = 8
     while True:
-        order = np.argsort(word, kind="stable")
+        order = np.argsort(word)  # the order of equal rotations does not matter
         ranked = word[order]
         rank = np.empty(n, dtype=np.uint64)
         rank[order] = np.concatenate([[0], np.cumsum(ranked[1:] != ranked[:-1])]).astype(np.uint64)
@@ -266,12 +266,35 @@ def send_pieces(table: pa.Table, shared: pa.Table, block: int, length: int, buck
     return pieces, cuts
 
 
+def near_alike(texts: list[bytes], places: list[int], numbers: list[int], length: int) -> list[int]:
+    """Those of `numbers` that could share a window with another.
+
+    A shared window has `length` - GRAM more bytes around the anchor in common, some on the left and the rest on the
+    right. However they fall, one of the four cuts below is common whole.
+    """
+    more = length - GRAM
+    low, mid, high = more // 4 + 1, more // 2, more - more // 4
+    cuts = [(0, high), (low, mid), (mid, low), (high, 0)]
+    out: set[int] = set()
+    for left, right in cuts:
+        first: dict[bytes, int] = {}
+        for k in numbers:
+            at, text = places[k], texts[k]
+            if at >= left and len(text) - at - GRAM >= right:
+                other = first.setdefault(text[at - left : at + GRAM + right], k)
+                if other != k:
+                    out.add(k)
+                    out.add(other)
+    return sorted(out)
+
+
 def find_repeats(table: pa.Table, length: int) -> pa.Table:
     """Rows of CUTS for the stretches of a bucket whose windows start in a document with a smaller id."""
     blocks, keys, rows, starts, sizes = [], [], [], [], []
     numbers: dict[bytes, int] = {}
     which: list[int] = []
     by_anchor: dict[bytes, list[int]] = {}
+    places: list[int] = []
     for block, k, r, a, n, p, text in zip(*(table[c].to_pylist() for c in ("block", *PIECES.names[2:]))):
         n = np.frombuffer(n, dtype="<i4")
         blocks.append(np.full(len(n), block))
@@ -283,7 +306,8 @@ def find_repeats(table: pa.Table, length: int) -> pa.Table:
         for size, place in zip(n.tolist(), np.frombuffer(p, dtype="<i4").tolist()):
             number = numbers.setdefault(text[at : at + size], len(numbers))
             which.append(number)
-            if number == len(numbers) - 1:
+            if number == len(places):
+                places.append(place)
                 by_anchor.setdefault(text[at + place : at + place + GRAM], []).append(number)
             at += size
     block, key, row, start, size = (np.concatenate(x) for x in (blocks, keys, rows, starts, sizes))
@@ -296,7 +320,8 @@ def find_repeats(table: pa.Table, length: int) -> pa.Table:
     out_start = [np.zeros(int(later.sum()), dtype=np.int64)]
     out_end = [size[later].astype(np.int64)]
     # Distinct stretches with the same anchor can share some of their windows; one that is alone with its anchor cannot.
-    compare = np.array(sorted(k for g in map(set, by_anchor.values()) if len(g) > 1 for k in g), dtype=np.int64)
+    several = sorted(k for g in by_anchor.values() if len(g) > 1 for k in g)
+    compare = np.array(near_alike(texts, places, several, length), dtype=np.int64)
     if len(compare):
         hits = earlier_windows([texts[k] for k in compare], least[compare], length)
         some = [i for i, h in enumerate(hits) if len(h)]
