@@ -19,14 +19,14 @@ from tidemark.operators.reduce import only_matching
 from tidemark.plans import core, marts
 from tidemark.plans.control import ControlState
 from tidemark.plans.staging import standardize
-from tidemark.quality import DataQualityError
+from tidemark.quality import Check, DataQualityError
 from tidemark.quality import run as run_checks
 from tidemark.quality.declared import final_suite, layer_checks
 from tidemark.schemas import ENTITIES, entity
 from tidemark.sources.raw_zone import RawZone
 from tidemark.sources.store import Layout, TableStore
 
-RAW_LAYOUT = Layout(("extract_date", "batch_id"), ("updated_at",))
+RAW_LAYOUT = Layout(("extract_date", "batch_id"), ("updated_at",), track="updated_at")
 
 
 class Source(Protocol):
@@ -69,8 +69,23 @@ class Warehouse:
         self.mart = TableStore(spark, f"{root}/mart")
         self.audit = TableStore(spark, f"{root}/audit")
 
+    def prepare(self) -> None:
+        """Empty raw tables where there are none, so that a batch over some tables can build everything."""
+        for table, spec in ENTITIES.items():
+            if not self.raw.exists(table):
+                self.raw.overwrite(table, self.spark.createDataFrame([], spec.raw_schema), RAW_LAYOUT)
+
+    def never_loaded(self) -> set[str]:
+        return {t for t in ENTITIES if not self.raw.exists(t) or not self.raw.snapshot(t).parts}
+
+    def tidy(self) -> None:
+        """Drop the files only older versions use; the last two stay, for readers that are under way."""
+        for store in (self.raw, self.core, self.mart, self.audit):
+            for table in store.tables():
+                store.expire(table)
+
     def staging(self, table: str, since: datetime | None = None) -> DataFrame:
-        return standardize(self.raw.read(table), table, since)
+        return standardize(self.raw.read(table, tracked_from=since), table, since)
 
     def staging_tables(self) -> dict[str, DataFrame]:
         """For the layer tests, which read few columns of each table."""
@@ -246,11 +261,22 @@ def build_marts(
     )
 
 
+def applicable(checks: Sequence[Check], never_loaded: set[str]) -> list[Check]:
+    """Without references to, and freshness of, tables that no batch has loaded yet: there is nothing to compare with."""
+    fed_by = {f"stg_{t}": t for t in ENTITIES} | {f"raw_{t}": t for t in ENTITIES} | core.FED_BY
+    return [
+        c
+        for c in checks
+        if fed_by.get(c.parent) not in never_loaded
+        and not (c.check_type == "freshness" and fed_by.get(c.target_table) in never_loaded)
+    ]
+
+
 def test_layer(wh: Warehouse, layer: str) -> None:
     """Run the declared tests of a layer; a failure stops the batch."""
     tables = {"staging": wh.staging_tables, "core": wh.core_tables, "mart": wh.mart_tables}[layer]()
     present = [c for c in layer_checks(layer) if c.target_table in tables]
-    run_checks(wh.spark, present, tables)
+    run_checks(wh.spark, applicable(present, wh.never_loaded()), tables)
 
 
 def check_quality(wh: Warehouse, cfg: BatchConfig, now: datetime, names: Sequence[str] | None = None) -> DataFrame:
@@ -259,7 +285,7 @@ def check_quality(wh: Warehouse, cfg: BatchConfig, now: datetime, names: Sequenc
     try:
         results = run_checks(
             wh.spark,
-            final_suite(cfg.now),
+            applicable(final_suite(cfg.now), wh.never_loaded()),
             tables,
             batch_id=cfg.batch_id,
             execution_date=cfg.extract_date,
@@ -313,6 +339,7 @@ def run_batch(spark: SparkSession, cfg: BatchConfig, source: Source) -> BatchRes
     state.finished(cfg.batch_id, extracted, clock())
     all_or_raise(landed)
 
+    wh.prepare()
     started = clock()
     loaded = side_by_side(
         spark,
@@ -347,4 +374,5 @@ def run_batch(spark: SparkSession, cfg: BatchConfig, source: Source) -> BatchRes
     check_quality(wh, cfg, clock())
     counts = {table: done["row_count"] for table, done in extracted.items()}
     moved = state.advance(cfg.watermark_mode, cfg.end_watermark, counts, clock())
+    wh.tidy()
     return BatchResult(cfg.batch_id, counts, moved)

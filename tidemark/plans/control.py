@@ -42,7 +42,8 @@ class ControlState:
         df = self.store.spark.createDataFrame(tuples, text)
         return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
-    def _rows(self, name: str, schema: T.StructType) -> list[dict]:
+    def _rows(self, name: str, schema: T.StructType, batch_id: str | None = None) -> list[dict]:
+        """Rows of the pipeline, of one batch where the table has one: one per source table."""
         if not self.store.exists(name):
             return []
         as_text = [
@@ -54,7 +55,9 @@ class ControlState:
         stamps = [f.name for f in schema if isinstance(f.dataType, T.TimestampType)]
         rows = []
         mine = self.store.read(name).where(F.col("pipeline_name") == self.pipeline_name)
-        for row in mine.select(*as_text).collect():  # one row per source table
+        if batch_id is not None:
+            mine = mine.where(F.col("batch_id") == batch_id)
+        for row in mine.select(*as_text).collect():
             data = row.asDict()
             data.update({c: datetime.fromisoformat(data[c]) for c in stamps if data[c]})
             rows.append(data)
@@ -122,8 +125,8 @@ class ControlState:
         """Record `uri`, `row_count`, `status` and `error_message` of each table's extract."""
         open_runs = {
             row["source_table"]: row
-            for row in self._rows("etl_batch_runs", BATCH_RUNS)
-            if row["batch_id"] == batch_id and row["source_table"] in results
+            for row in self._rows("etl_batch_runs", BATCH_RUNS, batch_id)
+            if row["source_table"] in results
         }
         runs = [{**open_runs[t], "error_message": None, **results[t], "finished_at": now} for t in results]
         self.store.merge("etl_batch_runs", self._frame(runs, BATCH_RUNS), RUN_KEY)

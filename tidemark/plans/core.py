@@ -15,6 +15,7 @@ from tidemark.sources.store import Layout
 
 AUDIT_TAIL = ["created_at", "updated_at", "is_deleted", "extract_date", "loaded_at"]
 
+# The columns whose change makes a new version.
 CUSTOMER_TRACKED = ["customer_name", "email", "phone_number", "address", "customer_grade", "marketing_opt_in"]
 CUSTOMER_UNTRACKED = ["signup_date"]
 PRODUCT_TRACKED = ["product_name", "category_id", "list_price", "brand", "product_status"]
@@ -32,6 +33,20 @@ class Target:
 # partitioned by a date, so that an upsert leaves the files of old dates alone.
 CHANGED = "updated_at"
 
+# Which source table feeds a model.
+FED_BY = {
+    "dim_category": "categories",
+    "dim_coupon": "coupons",
+    "dim_customer": "customers",
+    "dim_product": "products",
+    "fact_order": "orders",
+    "fact_order_item": "order_items",
+    "fact_payment": "payments",
+    "fact_shipment": "shipments",
+    "fact_inventory_snapshot": "inventory_snapshots",
+    "fact_order_status_history": "order_status_history",
+}
+
 TARGETS = {
     "dim_category": Target(("category_id",), Layout(track=CHANGED)),
     "dim_coupon": Target(("coupon_id",), Layout(track=CHANGED)),

@@ -28,6 +28,7 @@ class Check:
     severity: str = "ERROR"
     predicate: Callable[[], Column] | None = None  # true for a failing row
     count: Callable[[Tables], DataFrame] | None = None  # one row, one column
+    parent: str | None = None  # the table a reference points to
 
     def __post_init__(self):
         if (self.predicate is None) == (self.count is None):
@@ -139,6 +140,7 @@ def relationship(
         table,
         severity,
         count=lambda tables: orphans(tables[table], col, tables[parent], parent_col),
+        parent=parent,
     )
 
 

@@ -18,7 +18,7 @@ from tidemark.quality.checks import (
     unique,
 )
 
-# Per layer and table: columns never NULL, unique columns, references
+# The declared tests. Per layer and table: columns never NULL, unique columns, references
 # (column, table, column) and allowed values (column, values).
 COLUMN_TESTS: dict[str, dict[str, dict[str, list]]] = {
     "staging": {
@@ -154,7 +154,7 @@ def layer_checks(layer: str) -> list[Check]:
 
 
 def final_suite(as_of: datetime | None = None) -> list[Check]:
-    """The sixteen checks a batch must pass before its watermark moves.
+    """The sixteen checks (fixed values: their names) a batch must pass before its watermark moves.
 
     Raw tables are looked up as `raw_<table>`.
     """

@@ -14,21 +14,24 @@ from tidemark.quality.checks import FAILED, Check, Tables, failing
 from tidemark.schemas import QUALITY_RESULTS
 
 
+# Outcomes in the result table; the id is day, name and eight hex digits.
+PASS, FAIL, ERROR = "pass", "fail", "error"
+
+
 class DataQualityError(RuntimeError):
     def __init__(self, names: Sequence[str], results: DataFrame):
-        super().__init__(f"Data quality failed: {', '.join(names)}")
+        super().__init__(f"{len(names)} blocking check(s) did not pass: {', '.join(names)}")
         self.names = list(names)
         self.results = results
 
 
 def select_checks(checks: Sequence[Check], names: Sequence[str] | None) -> list[Check]:
     """The named checks, or all; an unknown name is an error."""
-    if not names:
-        return list(checks)
-    unknown = sorted(set(names) - {c.name for c in checks})
-    if unknown:
-        raise ValueError(f"Unknown quality check names: {', '.join(unknown)}")
-    return [c for c in checks if c.name in set(names)]
+    wanted = set(names or ())
+    absent = wanted.difference(c.name for c in checks)
+    if absent:
+        raise ValueError(f"no check is called {sorted(absent)}")
+    return [c for c in checks if not wanted or c.name in wanted]
 
 
 def counts_frame(checks: Sequence[Check], tables: Tables) -> DataFrame:
@@ -55,19 +58,39 @@ def counts_frame(checks: Sequence[Check], tables: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _count_all(checks: Sequence[Check], tables: Tables) -> dict[str, tuple[int, str | None]]:
-    """Counts of all checks; if the shared query fails, each check runs by itself."""
+def _broken(check: Check, tables: Tables) -> str | None:
+    """Why a check cannot be planned (a missing table or column, a wrong type); None if it can. Starts no job."""
     try:
-        rows = counts_frame(checks, tables).collect()  # one row per check
-        return {row["check_name"]: (int(row[FAILED] or 0), None) for row in rows}
-    except Exception:
-        found = {}
-        for check in checks:
-            try:
-                found[check.name] = (int(check.failures(tables).first()[FAILED] or 0), None)
-            except Exception as problem:  # the result row carries the message
-                found[check.name] = (-1, str(problem))
-        return found
+        check.failures(tables)
+    except Exception as problem:
+        return str(problem)
+    return None
+
+
+def _count_all(checks: Sequence[Check], tables: Tables) -> dict[str, tuple[int, str | None]]:
+    """Counts of all checks by one query over those that can be planned; what fails while it runs is raised."""
+    problems = {check.name: _broken(check, tables) for check in checks}
+    sound = [check for check in checks if problems[check.name] is None]
+    counts = {row["check_name"]: row[FAILED] for row in counts_frame(sound, tables).collect()} if sound else {}
+    return {name: (-1, why) if why is not None else (int(counts[name] or 0), None) for name, why in problems.items()}
+
+
+def _result(check: Check, count: int, message: str | None, at: datetime, batch_id: str | None, day: date) -> dict:
+    outcome = ERROR if count < 0 else FAIL if count else PASS
+    return {
+        "check_id": "_".join((day.isoformat(), check.name, uuid.uuid4().hex[:8])),
+        "check_name": check.name,
+        "status": outcome,
+        "failed_row_count": count,
+        "error_message": message,
+        "severity": check.severity,
+        "check_type": check.check_type,
+        "target_dataset": check.target_dataset,
+        "target_table": check.target_table,
+        "batch_id": batch_id,
+        "checked_at": at,
+        "execution_date": day,
+    }
 
 
 def run(
@@ -86,32 +109,12 @@ def run(
     cannot be evaluated (count -1).
     """
     chosen = select_checks(checks, names)
-    checked_at = checked_at or datetime.now(timezone.utc)
-    execution_date = execution_date or checked_at.date()
-    counts = _count_all(chosen, tables) if chosen else {}
-    rows, failed = [], []
-    for check in chosen:
-        count, message = counts[check.name]
-        status = "error" if count < 0 else "pass" if count == 0 else "fail"
-        if status != "pass" and check.severity == "ERROR":
-            failed.append(check.name)
-        rows.append(
-            (
-                f"{execution_date.isoformat()}_{check.name}_{uuid.uuid4().hex[:8]}",
-                check.name,
-                check.check_type,
-                check.target_dataset,
-                check.target_table,
-                check.severity,
-                status,
-                count,
-                checked_at,
-                batch_id,
-                execution_date,
-                message,
-            )
-        )
+    at = checked_at or datetime.now(timezone.utc)
+    counts = _count_all(chosen, tables)
+    found = [_result(c, *counts[c.name], at, batch_id, execution_date or at.date()) for c in chosen]
+    rows = [tuple(result[column] for column in QUALITY_RESULTS.names) for result in found]
     results = spark.createDataFrame(rows, QUALITY_RESULTS)
-    if failed and raise_on_failure:
-        raise DataQualityError(failed, results)
+    blocking = [r["check_name"] for r in found if r["severity"] == "ERROR" and r["status"] != PASS]
+    if blocking and raise_on_failure:
+        raise DataQualityError(blocking, results)
     return results

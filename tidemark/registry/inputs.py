@@ -5,10 +5,11 @@ from __future__ import annotations
 from datetime import datetime
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import utc
+from tidemark.operators.dedupe import dedupe_latest
 from tidemark.operators.incremental import extract_window
 from tidemark.plans import core
 from tidemark.plans.staging import standardize
@@ -52,8 +53,25 @@ def money(col: str) -> Column:
 
 
 def category_id_of(p_type: Column) -> Column:
-    """Distinct for the part types of the test data, and computed row by row."""
-    return (F.ascii(p_type) * 100 + F.length(p_type)).cast("long")
+    """A number from the whole text (60 bits of its digest), computed row by row."""
+    return F.conv(F.substring(F.md5(p_type), 1, 15), 16, 10).cast("long")
+
+
+def product_category(part_key: str, p_type: str) -> Column:
+    """The category of a part; some have none, the stand-in id, or one that no category has."""
+    key = F.col(part_key)
+    return (
+        F.when(key % 19 == 0, F.lit(None).cast("long"))
+        .when(key % 23 == 0, F.lit(-1).cast("long"))
+        .when(key % 29 == 0, F.lit(999).cast("long"))
+        .otherwise(category_id_of(F.col(p_type)))
+    )
+
+
+def deleted_flag(key: Column, deleted: int, unknown: int) -> Column:
+    """True for keys divisible by the first number, unknown for others divisible by the second."""
+    unset = F.when(key % unknown == 0, F.lit(None).cast("boolean")).otherwise(F.lit(False))
+    return F.when(key % deleted == 0, F.lit(True)).otherwise(unset)
 
 
 def as_raw(df: DataFrame, table: str, updated_at: Column, batch_id: str = "b1", **columns: Column) -> DataFrame:
@@ -98,7 +116,7 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
             "products",
             utc(at),
             product_id=F.col("p_partkey"),
-            category_id=category_id_of(F.col("p_type")),
+            category_id=product_category("p_partkey", "p_type"),
             product_name=F.col("p_name"),
             brand=F.col("p_brand"),
             list_price=price,
@@ -114,6 +132,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         load(spark, sf_dir, "customer"),
         "customers",
         utc(BEFORE_ORDERS),
+        is_deleted=deleted_flag(F.col("c_custkey"), 17, 13),
         customer_id=F.col("c_custkey"),
         customer_name=F.col("c_name"),
         email=F.concat("c_name", F.lit("@EXAMPLE.COM")),
@@ -182,8 +201,9 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         load(spark, sf_dir, "orders"),
         "orders",
         F.col("o_orderdate"),
+        is_deleted=deleted_flag(F.col("o_orderkey"), 41, 43),
         order_id=F.col("o_orderkey"),
-        customer_id=F.col("o_custkey"),
+        customer_id=F.when(F.col("o_orderkey") % 47 != 0, F.col("o_custkey")),
         coupon_id=F.lit(None),
         order_status=F.when(status == "F", "delivered").when(status == "O", "paid").otherwise("created"),
         order_channel=F.col("o_orderpriority"),
@@ -195,32 +215,44 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _price() -> Column:
+    """Some orders are free, so that their total is zero."""
+    return F.when(F.col("l_orderkey") % 59 == 0, F.lit(0)).otherwise(money("l_extendedprice")).cast("decimal(12,2)")
+
+
 def _discount() -> Column:
-    return (money("l_extendedprice") * F.col("l_discount").cast("decimal(4,2)")).cast("decimal(12,2)")
+    return (_price() * F.col("l_discount").cast("decimal(4,2)")).cast("decimal(12,2)")
 
 
 def _item_amount() -> Column:
-    return (money("l_extendedprice") - _discount()).cast("decimal(12,2)")
+    return (_price() - _discount()).cast("decimal(12,2)")
 
 
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items; a repeated (order, line) is a later or earlier version of the item."""
+    """Line items at the price of their part; a repeated (order, line) is a later or earlier version of the item.
+
+    Some items have lost their order, some are deleted, and of some that is unknown.
+    """
+    prices = load(spark, sf_dir, "part").select("p_partkey", money("p_retailprice").alias("unit_price"))
+    lines = load(spark, sf_dir, "lineitem")
+    item = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     return as_raw(
-        load(spark, sf_dir, "lineitem"),
+        lines.join(prices, lines["l_partkey"] == prices["p_partkey"], "left"),
         "order_items",
         F.col("l_shipdate"),
-        order_item_id=F.col("l_orderkey") * 10 + F.col("l_linenumber"),
-        order_id=F.col("l_orderkey"),
+        is_deleted=deleted_flag(item, 37, 31),
+        order_item_id=item,
+        order_id=F.when(F.col("l_orderkey") % 97 != 0, F.col("l_orderkey")),
         product_id=F.col("l_partkey"),
         quantity=F.col("l_quantity"),
-        unit_price=money("l_extendedprice"),
+        unit_price=F.col("unit_price"),
         discount_amount=_discount(),
         item_amount=_item_amount(),
     )
 
 
 def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Finished and open orders are paid; returned line items are refunded."""
+    """Finished and open orders are paid; the latest versions of returned line items are refunded."""
     orders = load(spark, sf_dir, "orders")
     paid = orders.where("o_orderstatus in ('F', 'O')").select(
         (F.col("o_orderkey") * 2).alias("payment_id"),
@@ -229,9 +261,13 @@ def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         money("o_totalprice").alias("amount"),
         F.col("o_orderdate").alias("at"),
     )
+    latest = dedupe_latest(
+        load(spark, sf_dir, "lineitem"),
+        ["l_orderkey", "l_linenumber"],
+        order_by=["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"],
+    )
     refunds = (
-        load(spark, sf_dir, "lineitem")
-        .where("l_returnflag = 'R'")
+        latest.where("l_returnflag = 'R'")
         .groupBy("l_orderkey")
         .agg(F.sum(_item_amount()).alias("amount"), F.max("l_shipdate").alias("at"))
         .select(
@@ -246,6 +282,7 @@ def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         paid.unionByName(refunds),
         "payments",
         F.col("at"),
+        is_deleted=deleted_flag(F.col("payment_id"), 29, 31),
         payment_id=F.col("payment_id"),
         order_id=F.col("order_id"),
         payment_method=F.lit("card"),
@@ -280,13 +317,15 @@ def raw_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_inventory_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items read as stock counts; several per day and product, so one must win."""
+    kinds = load(spark, sf_dir, "part").select("p_partkey", "p_type")
+    lines = load(spark, sf_dir, "lineitem")
     return as_raw(
-        load(spark, sf_dir, "lineitem"),
+        lines.join(kinds, lines["l_partkey"] == kinds["p_partkey"], "left"),
         "inventory_snapshots",
         F.col("l_shipdate"),
         snapshot_date=F.to_date("l_shipdate"),
         product_id=F.col("l_partkey"),
-        category_id=F.col("l_linenumber"),
+        category_id=product_category("p_partkey", "p_type"),
         stock_quantity=F.col("l_quantity"),
         reserved_quantity=F.lit(0),
         available_quantity=F.col("l_quantity"),
@@ -300,7 +339,7 @@ def raw_order_status_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts"),
         order_status_history_id=F.col("event_id"),
         order_id=F.col("user_id"),
-        previous_status=F.lit(None),
+        previous_status=F.lag("event_type").over(Window.partitionBy("user_id").orderBy("ts", "event_id")),
         new_status=F.col("event_type"),
         changed_at=F.col("ts"),
         change_reason=F.lit(None),

@@ -19,8 +19,12 @@ def _md5(*parts: str) -> str:
     return f"md5(concat_ws('|', {', '.join(parts)}))"
 
 
-def _tail(at: str, table: str, batch: str = "b1") -> str:
-    return f"""{at} as created_at, {at} as updated_at, false as is_deleted,
+def _deleted(key: str, deleted: int, unknown: int) -> str:
+    return f"case when {key} % {deleted} = 0 then true when {key} % {unknown} = 0 then null else false end"
+
+
+def _tail(at: str, table: str, batch: str = "b1", deleted: str = "false") -> str:
+    return f"""{at} as created_at, {at} as updated_at, {deleted} as is_deleted,
         date '2026-01-01' as extract_date, timestamp '2026-01-01 00:00:00' as extracted_at,
         '{table}' as source_table, '{batch}' as batch_id, timestamp '2026-01-01 01:00:00' as loaded_at"""
 
@@ -36,9 +40,11 @@ def _latest(raw: str, keys: str, columns: list[str]) -> str:
         where rn = 1)"""
 
 
-CATEGORY_ID = "cast(ascii(p_type) * 100 + length(p_type) as bigint)"
+CATEGORY_ID = "cast('0x' || substr(md5(p_type), 1, 15) as bigint)"
+PRODUCT_CATEGORY = f"""case when p_partkey % 19 = 0 then null when p_partkey % 23 = 0 then -1
+    when p_partkey % 29 = 0 then 999 else {CATEGORY_ID} end"""
 MONEY = "cast({} as decimal(12,2))"
-PRICE = MONEY.format("l_extendedprice")
+PRICE = f"cast(case when l_orderkey % 59 = 0 then 0 else {MONEY.format('l_extendedprice')} end as decimal(12,2))"
 DISCOUNT = f"cast({PRICE} * cast(l_discount as decimal(4,2)) as decimal(12,2))"
 ITEM_AMOUNT = f"cast({PRICE} - {DISCOUNT} as decimal(12,2))"
 EARLY = "timestamp '1994-12-31 00:00:00'"
@@ -91,11 +97,11 @@ _PRODUCT = """select p_partkey as product_id, {category} as category_id, p_name
     cast({price} as decimal(12,2)) as list_price, 'active' as product_status, {tail} from part {where}"""
 CTES["raw_products"] = (
     _PRODUCT.format(
-        category=CATEGORY_ID, price=MONEY.format("p_retailprice"), tail=_tail(EARLY, "products"), where=""
+        category=PRODUCT_CATEGORY, price=MONEY.format("p_retailprice"), tail=_tail(EARLY, "products"), where=""
     )
     + " union all "
     + _PRODUCT.format(
-        category=CATEGORY_ID,
+        category=PRODUCT_CATEGORY,
         price=MONEY.format("p_retailprice") + " + 10",
         tail=_tail("timestamp '1998-01-01 00:00:00'", "products"),
         where="where p_size > 25",
@@ -104,7 +110,8 @@ CTES["raw_products"] = (
 CTES["raw_customers"] = f"""select c_custkey as customer_id, c_name as customer_name,
     c_name || '@EXAMPLE.COM' as email, cast(null as varchar) as phone_number,
     cast(c_nationkey as varchar) as address, c_mktsegment as customer_grade, c_acctbal > 0 as marketing_opt_in,
-    date '1994-01-01' as signup_date, {_tail(EARLY, 'customers')} from customer"""
+    date '1994-01-01' as signup_date,
+    {_tail(EARLY, 'customers', deleted=_deleted('c_custkey', 17, 13))} from customer"""
 CTES["customer_log"] = f"""select user_id as customer_id, 'user ' || user_id as customer_name,
     'U' || user_id || '@EXAMPLE.COM' as email, cast(null as varchar) as phone_number,
     cast(null as varchar) as address, event_type as customer_grade, true as marketing_opt_in,
@@ -113,23 +120,29 @@ CTES["raw_coupons"] = f"""select s_suppkey as coupon_id, 'CPN' || s_suppkey as c
     'fixed_amount' as discount_type, abs({MONEY.format('s_acctbal')}) as discount_value,
     timestamp '1995-01-01 00:00:00' as valid_from, timestamp '2002-01-01 00:00:00' as valid_to,
     {_tail(EARLY, 'coupons')} from supplier"""
-CTES["raw_orders"] = f"""select o_orderkey as order_id, o_custkey as customer_id, cast(null as bigint) as coupon_id,
+CTES["raw_orders"] = f"""select o_orderkey as order_id,
+    case when o_orderkey % 47 <> 0 then o_custkey end as customer_id, cast(null as bigint) as coupon_id,
     case o_orderstatus when 'F' then 'delivered' when 'O' then 'paid' else 'created' end as order_status,
     o_orderpriority as order_channel, o_orderdate as order_at,
     {MONEY.format('o_totalprice')} as subtotal_amount, cast(0 as decimal(12,2)) as discount_amount,
     cast(0 as decimal(12,2)) as shipping_fee, {MONEY.format('o_totalprice')} as total_amount,
-    {_tail('o_orderdate', 'orders')} from orders"""
-CTES["raw_order_items"] = f"""select l_orderkey * 10 + l_linenumber as order_item_id, l_orderkey as order_id,
-    l_partkey as product_id, cast(l_quantity as bigint) as quantity, {PRICE} as unit_price,
-    {DISCOUNT} as discount_amount, {ITEM_AMOUNT} as item_amount, {_tail('l_shipdate', 'order_items')} from lineitem"""
+    {_tail('o_orderdate', 'orders', deleted=_deleted('o_orderkey', 41, 43))} from orders"""
+CTES["raw_order_items"] = f"""select l_orderkey * 10 + l_linenumber as order_item_id,
+    case when l_orderkey % 97 <> 0 then l_orderkey end as order_id, l_partkey as product_id,
+    cast(l_quantity as bigint) as quantity, {MONEY.format('p_retailprice')} as unit_price,
+    {DISCOUNT} as discount_amount, {ITEM_AMOUNT} as item_amount,
+    {_tail('l_shipdate', 'order_items', deleted=_deleted('(l_orderkey * 10 + l_linenumber)', 37, 31))}
+    from lineitem left join part on l_partkey = p_partkey"""
 CTES["raw_payments"] = f"""select payment_id, order_id, 'card' as payment_method, payment_status, payment_amount,
-    paid_at as payment_at, 'T' || payment_id as transaction_id, {_tail('paid_at', 'payments')} from (
+    paid_at as payment_at, 'T' || payment_id as transaction_id, {_tail('paid_at', 'payments', deleted=_deleted('payment_id', 29, 31))} from (
         select o_orderkey * 2 as payment_id, o_orderkey as order_id, 'paid' as payment_status,
             {MONEY.format('o_totalprice')} as payment_amount, o_orderdate as paid_at
         from orders where o_orderstatus in ('F', 'O')
         union all
         select l_orderkey * 2 + 1, l_orderkey, 'refunded', cast(sum({ITEM_AMOUNT}) as decimal(12,2)), max(l_shipdate)
-        from lineitem where l_returnflag = 'R' group by l_orderkey)"""
+        from (select *, row_number() over (partition by l_orderkey, l_linenumber
+            order by l_shipdate desc, l_partkey desc, l_suppkey desc, l_extendedprice desc) as rn from lineitem)
+        where rn = 1 and l_returnflag = 'R' group by l_orderkey)"""
 CTES["raw_shipments"] = f"""select l_orderkey as shipment_id, l_orderkey as order_id,
     case when line = 'F' then 'delivered' else 'shipped' end as shipment_status, 'post' as carrier,
     'S' || l_orderkey as tracking_number, first_at as shipped_at, last_at as delivered_at,
@@ -137,11 +150,11 @@ CTES["raw_shipments"] = f"""select l_orderkey as shipment_id, l_orderkey as orde
         select l_orderkey, min(l_shipdate) as first_at, max(l_shipdate) as last_at, max(l_linestatus) as line
         from lineitem group by l_orderkey)"""
 CTES["raw_inventory_snapshots"] = f"""select cast(l_shipdate as date) as snapshot_date, l_partkey as product_id,
-    cast(l_linenumber as bigint) as category_id, cast(l_quantity as bigint) as stock_quantity,
+    {PRODUCT_CATEGORY} as category_id, cast(l_quantity as bigint) as stock_quantity,
     cast(0 as bigint) as reserved_quantity, cast(l_quantity as bigint) as available_quantity,
-    {_tail('l_shipdate', 'inventory_snapshots')} from lineitem"""
+    {_tail('l_shipdate', 'inventory_snapshots')} from lineitem left join part on l_partkey = p_partkey"""
 CTES["raw_order_status_history"] = f"""select event_id as order_status_history_id, user_id as order_id,
-    cast(null as varchar) as previous_status, event_type as new_status, ts as changed_at,
+    lag(event_type) over (partition by user_id order by ts, event_id) as previous_status, event_type as new_status, ts as changed_at,
     cast(null as varchar) as change_reason, {_tail('ts', 'order_status_history')} from events"""
 
 DATE_OF = {"order_at": "order_date", "payment_at": "payment_date"}
@@ -159,7 +172,10 @@ def _staging(table: str, raw: str | None = None) -> str:
             out.append(c)
         if c in DATE_OF:
             out.append(f"cast({c} as date) as {DATE_OF[c]}")
-    return f"select {', '.join([*out, *TAIL])} from {_latest(raw or 'raw_' + table, KEYS[table], columns)}"
+    defaulted = table in ("orders", "order_items", "payments")
+    flag = "coalesce(is_deleted, false) as is_deleted" if defaulted else "is_deleted"
+    tail = [flag if c == "is_deleted" else c for c in TAIL]
+    return f"select {', '.join([*out, *tail])} from {_latest(raw or 'raw_' + table, KEYS[table], columns)}"
 
 
 for _table in COLUMNS:
@@ -183,7 +199,8 @@ PRODUCT_SK = _md5("cast(product_id as varchar)", _stamp("updated_at"), "row_hash
 OPEN = "timestamp '9999-12-31 00:00:00'"
 
 CTES["dim_customer"] = f"""select *, {CUSTOMER_SK} as customer_sk, updated_at as effective_from,
-    {OPEN} as effective_to, true as is_current from (select *, {CUSTOMER_HASH} as row_hash from stg_customers)"""
+    {OPEN} as effective_to, true as is_current
+    from (select *, {CUSTOMER_HASH} as row_hash from stg_customers where is_deleted = false)"""
 CTES["dim_product"] = f"""select *, {PRODUCT_SK} as product_sk, updated_at as effective_from,
     coalesce(lead(updated_at) over (partition by product_id order by updated_at), {OPEN}) as effective_to,
     lead(updated_at) over (partition by product_id order by updated_at) is null as is_current
@@ -259,7 +276,7 @@ def _daily_sales(where: str) -> str:
                 sum(i.item_amount) as amount, sum(i.discount_amount) as discount
             from fact_order_item i left join stg_categories g on i.category_id = g.category_id
             where not i.is_deleted and {where} group by all) c
-        left join fact_order o on c.order_id = o.order_id
+        left join fact_order o on c.order_id = o.order_id and not o.is_deleted
         left join (select order_id, sum(item_amount) as total from fact_order_item i
             where not i.is_deleted and {where} group by order_id) t on c.order_id = t.order_id
         left join order_payments p on c.order_id = p.order_id)
@@ -294,7 +311,9 @@ SQL["extract_window_events"] = """
 SQL["incremental_high_water"] = """
     select * from events
     where ts >= (select coalesce(max(ts), timestamp '1970-01-01') from events where ts < timestamp '2024-01-15')"""
-SQL["row_hash_customers"] = ctes("select customer_id, row_hash, customer_sk from dim_customer")
+SQL["row_hash_customers"] = ctes(f"""
+    select customer_id, row_hash, {CUSTOMER_SK} as customer_sk
+    from (select *, {CUSTOMER_HASH} as row_hash from stg_customers)""")
 for _table in COLUMNS:
     SQL[f"stg_{_table}"] = ctes(f"select * from stg_{_table}")
 
@@ -420,7 +439,10 @@ SQL["backfill_range"] = f"""
 SQL["mart_daily_sales"] = _daily_sales("true")
 SQL["mart_daily_sales_range"] = _daily_sales("i.order_date between date '1997-03-01' and date '1997-04-30'")
 SQL["mart_daily_sales_lookback"] = _daily_sales("i.order_date >= date '2001-07-25'")
-SQL["mart_product_sales"] = ctes("""
+
+
+def _product_sales(where: str) -> str:
+    return ctes(f"""
     select i.order_date as sales_date, i.product_id, i.product_sk, p.product_name, p.brand, p.product_status,
         coalesce(i.category_id, -1) as category_id, coalesce(g.category_name, 'unknown') as category_name,
         count(distinct i.order_id) as order_count, count(distinct i.order_item_id) as order_item_count,
@@ -428,31 +450,46 @@ SQL["mart_product_sales"] = ctes("""
         cast(sum(i.discount_amount) as decimal(38,2)) as discount_amount,
         cast(sum(case when o.order_status in ('paid', 'shipped', 'delivered') then i.item_amount else 0 end)
             as decimal(38,2)) as net_revenue
-    from fact_order_item i left join fact_order o on i.order_id = o.order_id
+    from fact_order_item i left join fact_order o on i.order_id = o.order_id and not o.is_deleted
     left join dim_product p on i.product_sk = p.product_sk
     left join stg_categories g on coalesce(i.category_id, -1) = g.category_id
-    where not i.is_deleted group by all""")
+    where not i.is_deleted and {where} group by all""")
+
+
+SQL["mart_product_sales"] = _product_sales("true")
+SQL["mart_product_sales_range"] = _product_sales("i.order_date between date '1997-03-01' and date '1997-04-30'")
 
 _AVERAGE = """cast((2 * cast(customer_ltv * 100 as hugeint) * 10000000 + sign(customer_ltv) * lifetime_order_count)
     // (2 * lifetime_order_count) as decimal(28,0)) * cast(0.000000001 as decimal(10,9))"""
 CTES["ltv"] = """select co.*, cast(paid - refunded as decimal(38,2)) as customer_ltv,
-    case when paid - refunded >= 1000000 then 'high_value' when lifetime_order_count >= 3 then 'repeat'
-        else 'new_or_low' end as customer_segment
+    if(paid - refunded >= 1000000, 'high_value', if(lifetime_order_count >= 3, 'repeat', 'new_or_low'))
+        as customer_segment
     from (select o.customer_id, min(o.order_date) as first_order_date, max(o.order_date) as last_order_date,
             count(distinct o.order_id) as lifetime_order_count, sum(coalesce(p.paid_amount, 0)) as paid,
             sum(coalesce(p.refunded_amount, 0)) as refunded
         from fact_order o left join order_payments p on o.order_id = p.order_id
         where o.order_status in ('paid', 'shipped', 'delivered') and not o.is_deleted
         group by o.customer_id) co"""
-SQL["mart_customer_ltv"] = ctes(f"""
+
+
+def _value(where: str) -> str:
+    return ctes(f"""
     select ltv.customer_id, d.customer_sk, d.customer_name, d.email, d.customer_grade, d.marketing_opt_in,
         first_order_date, last_order_date, date_diff('day', last_order_date, date '2002-01-01')
             as days_since_last_order,
         lifetime_order_count, cast(paid as decimal(38,2)) as lifetime_paid_amount,
         cast(refunded as decimal(38,2)) as lifetime_refunded_amount, customer_ltv,
         cast({_AVERAGE} as decimal(38,9)) as avg_order_value, customer_segment
-    from ltv left join dim_customer d on ltv.customer_id = d.customer_id""")
-SQL["mart_monthly_retention"] = ctes("""
+    from ltv left join dim_customer d on ltv.customer_id = d.customer_id
+    where {where}""")
+
+
+SQL["mart_customer_ltv"] = _value("true")
+SQL["mart_customer_ltv_lookback"] = _value("last_order_date >= date '2001-07-02'")
+
+
+def _retention(where: str) -> str:
+    return ctes(f"""
     select b.*, s.cohort_customer_count,
         b.retained_customer_count / s.cohort_customer_count as retention_rate
     from (
@@ -469,8 +506,13 @@ SQL["mart_monthly_retention"] = ctes("""
         group by all) b
     left join (
         select cast(date_trunc('month', first_order_date) as date) as cohort_month, customer_segment,
-            count(*) as cohort_customer_count from ltv group by all) s
-    on b.cohort_month = s.cohort_month and b.customer_segment = s.customer_segment""")
+            count(*) as cohort_customer_count from ltv where customer_id is not null group by all) s
+    on b.cohort_month = s.cohort_month and b.customer_segment = s.customer_segment
+    where {where}""")
+
+
+SQL["mart_monthly_retention"] = _retention("true")
+SQL["mart_monthly_retention_range"] = _retention("b.cohort_month between date '1997-03-01' and date '1997-04-01'")
 
 SQL["dq_not_null"] = _failed("customer_balance_not_null", "select count(*) from customer where c_acctbal < 0")
 SQL["dq_unique"] = _failed(
@@ -507,8 +549,16 @@ SQL["dq_metric_sanity"] = _failed(
 SQL["dq_mart_reconcile"] = ctes(
     _failed(
         "mart_aggregate_validation",
-        """select count(*) from (select o.order_date from stg_order_items i
-            left join stg_orders o on i.order_id = o.order_id group by o.order_date having count(*) > 6)""",
+        """select count(*) from (
+            select o.order_date as day, if(count(*) > 6, 2, 0)
+                + sum(if(o.order_status in ('paid', 'shipped', 'delivered'), i.item_amount, 0)) as reported
+            from stg_order_items i left join stg_orders o on i.order_id = o.order_id group by o.order_date) m
+        left join (
+            select o.order_date as day, sum(i.item_amount) as revenue
+            from stg_order_items i join stg_orders o on i.order_id = o.order_id
+            where not i.is_deleted and not o.is_deleted and o.order_status in ('paid', 'shipped', 'delivered')
+            group by o.order_date) f on m.day = f.day
+        where abs(reported - coalesce(revenue, 0)) > 1""",
     )
 )
 SQL["dq_freshness"] = """
@@ -536,7 +586,7 @@ _SUITE = [
     ("fact_order_item_pk_unique", "unique", "core", "fact_order_item", "ERROR",
      "select count(*) from (select 1 from fact_order_item group by order_item_id having count(*) > 1)"),
     ("fact_order_item_order_fk", "relationship", "core", "fact_order_item", "ERROR",
-     "select count(*) from fact_order_item where quantity = 50"),
+     "select count(*) from fact_order_item where quantity = 50 and order_id is not null"),
     ("fact_payment_order_fk", "relationship", "core", "fact_payment", "ERROR",
      """select count(*) from stg_payments p where not exists
         (select 1 from fact_order o where o.order_id = p.order_id)"""),

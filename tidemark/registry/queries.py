@@ -459,17 +459,27 @@ def mart_daily_sales_lookback(spark, sf_dir):
     )
 
 
-@query
-def mart_product_sales(spark, sf_dir):
+def _product_sales(spark, sf_dir, **bounds) -> DataFrame:
     m = Mapped(spark, sf_dir)
     mart = marts.mart_product_sales(
-        m.fact_order_item, m.fact_order, m.dim_product, m.dim_category, as_of=AS_OF
+        m.fact_order_item, m.fact_order, m.dim_product, m.dim_category, as_of=AS_OF, **bounds
     )
     return mart.drop("mart_loaded_at")
 
 
-def _ltv(m: Mapped) -> DataFrame:
-    return marts.mart_customer_ltv(m.fact_order, m.fact_payment, m.dim_customer, as_of=AS_OF)
+@query
+def mart_product_sales(spark, sf_dir):
+    return _product_sales(spark, sf_dir)
+
+
+@query
+def mart_product_sales_range(spark, sf_dir):
+    """The explicit reporting range, both ends included."""
+    return _product_sales(spark, sf_dir, start=date(1997, 3, 1), end=date(1997, 4, 30))
+
+
+def _ltv(m: Mapped, **bounds) -> DataFrame:
+    return marts.mart_customer_ltv(m.fact_order, m.fact_payment, m.dim_customer, as_of=AS_OF, **bounds)
 
 
 @query
@@ -477,6 +487,23 @@ def mart_customer_ltv(spark, sf_dir):
     return _ltv(Mapped(spark, sf_dir)).drop("mart_loaded_at")
 
 
+@query
+def mart_customer_ltv_lookback(spark, sf_dir):
+    """Customers whose last order lies in the thirty days before the given day; orders without a customer are one of them."""
+    since = date(2001, 8, 1) - timedelta(days=marts.LTV_LOOKBACK_DAYS)
+    return _ltv(Mapped(spark, sf_dir), lookback_from=since).drop("mart_loaded_at")
+
+
+@query
+def mart_monthly_retention_range(spark, sf_dir):
+    """Cohorts of the months the range touches, with all their later months."""
+    m = Mapped(spark, sf_dir)
+    mart = marts.mart_monthly_retention(
+        m.fact_order, _ltv(m), start=date(1997, 3, 10), end=date(1997, 4, 20), as_of=AS_OF
+    )
+    return mart.drop("mart_loaded_at")
+
+
 @query
 def mart_monthly_retention(spark, sf_dir):
     m = Mapped(spark, sf_dir)

@@ -59,6 +59,7 @@ class Entity:
         return T.StructType([f for f in self.raw_schema if f.name != "source_table"])
 
 
+# Names, order and types of the columns of the ten source tables.
 _ALL = [
     Entity(
         "categories",
@@ -135,6 +136,7 @@ def entity(name: str) -> Entity:
     return ENTITIES[name]
 
 
+# Columns of the control and result tables.
 WATERMARKS = fields(
     "pipeline_name:string source_table:string last_success_watermark:ts current_run_watermark:ts "
     "last_run_at:ts status:string row_count:long error_message:string created_at:ts updated_at:ts"

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import shutil
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,18 +56,20 @@ def pin_result_settings(spark: SparkSession) -> None:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a local one only for local masters."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
+    """The shared folder the cluster names; with a local master that names none, one folder per application in the warehouse."""
+    context = spark.sparkContext
+    named = context.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    in_use = spark.sparkContext.getCheckpointDir()
-    if in_use:
-        return in_use.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if context.getCheckpointDir():
+        return context.getCheckpointDir().rstrip("/")
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="tidemark-")
+    scratch = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch-{context.applicationId}"
+    context.setCheckpointDir(scratch)
+    if scratch.startswith(("file:", "/")):
+        atexit.register(shutil.rmtree, urlparse(scratch).path, ignore_errors=True)
+    return context.getCheckpointDir().rstrip("/")
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:

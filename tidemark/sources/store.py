@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 from datetime import datetime
 from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,6 +51,18 @@ class ConcurrentWrite(RuntimeError):
     pass
 
 
+class RepeatedKey(ValueError):
+    pass
+
+
+def refuse_repeats(name: str, source: DataFrame, keys: Sequence[str]) -> None:
+    """Raise if a key occurs twice; a key with a NULL equals no other. Keys are counted before they are moved."""
+    known = source.select(*keys).dropna(subset=list(keys))
+    twice = known.groupBy(*keys).count().where("count > 1").select(*keys).first()
+    if twice is not None:
+        raise RepeatedKey(f"the source of {name} holds key {tuple(twice)} more than once")
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -75,21 +88,23 @@ class TableStore:
     def versions(self, name: str) -> list[int]:
         return [int(f[:-5]) for f in self._children(name, "_log") if f.endswith(".json")]
 
+    def tables(self) -> list[str]:
+        return self._children()
+
     def exists(self, name: str) -> bool:
-        return bool(self.versions(name))
+        return any(self._list(name, version) is not None for version in reversed(self.versions(name)))
+
+    def _next(self, name: str) -> int:
+        return max(self.versions(name), default=0) + 1
 
     def snapshot(self, name: str, version: int | None = None) -> Snapshot:
-        known = self.versions(name)
-        if not known:
-            raise FileNotFoundError(f"table {name} does not exist below {self.root}")
-        version = known[-1] if version is None else version
-        path = self._path(name, "_log", f"{version:012d}.json")
-        stream = self._fs(path).open(path)
-        try:
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        data = json.loads(text)
+        known = self.versions(name) if version is None else [version]
+        data = None
+        while data is None:
+            if not known:
+                raise FileNotFoundError(f"table {name} does not exist below {self.root}")
+            version = known.pop()
+            data = self._list(name, version)
         return Snapshot(
             version,
             T.StructType.fromJson(data["schema"]),
@@ -98,6 +113,19 @@ class TableStore:
             data["tops"],
         )
 
+    def _list(self, name: str, version: int) -> dict | None:
+        """The content of a list; None while its writer has not finished it, or died before."""
+        path = self._path(name, "_log", f"{version:012d}.json")
+        stream = self._fs(path).open(path)
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        try:
+            return json.loads(text)
+        except json.JSONDecodeError:
+            return None
+
     def _publish(self, name: str, snapshot: Snapshot) -> None:
         """Create the next list; of two writers with the same number one fails."""
         text = json.dumps(
@@ -111,16 +139,17 @@ class TableStore:
             }
         )
         target = self._path(name, "_log", f"{snapshot.version:012d}.json")
-        draft = self._path(name, "_log", f"_{uuid.uuid4().hex}.draft")
-        fs = self._fs(target)
-        out = fs.create(draft, True)
+        try:
+            out = self._fs(target).create(target, False)  # never over an existing list
+        except Py4JJavaError as problem:
+            if "FileAlreadyExists" not in str(problem.java_exception):
+                raise
+            taken = f"version {snapshot.version} of {name} was published by another writer"
+            raise ConcurrentWrite(taken) from problem
         try:
             out.write(bytearray(text, "utf-8"))
         finally:
             out.close()
-        if fs.exists(target) or not fs.rename(draft, target):
-            fs.delete(draft, False)
-            raise ConcurrentWrite(f"version {snapshot.version} of {name} was published by another writer")
 
     # -- reading ---------------------------------------------------------------
 
@@ -131,9 +160,17 @@ class TableStore:
         reader = self.spark.read.schema(snap.schema).option("basePath", base)
         return reader.parquet(*[f"{base}/{rel}" for _, rel in parts]).select(*snap.schema.names)
 
-    def read(self, name: str, version: int | None = None) -> DataFrame:
+    def read(self, name: str, version: int | None = None, tracked_from: datetime | None = None) -> DataFrame:
+        """The table; with `tracked_from` without the partitions whose tracked values all lie before it.
+
+        Rows before it can still be among the others, so the caller filters all the same.
+        """
         snap = self.snapshot(name, version)
-        return self._read_parts(name, snap, snap.parts)
+        parts = snap.parts
+        if tracked_from is not None:
+            tops = {rel: datetime.fromisoformat(top) for rel, top in snap.tops.items()}
+            parts = [(values, rel) for values, rel in parts if rel not in tops or tops[rel] >= tracked_from]
+        return self._read_parts(name, snap, parts)
 
     def read_or_none(self, name: str) -> DataFrame | None:
         return self.read(name) if self.exists(name) else None
@@ -190,7 +227,7 @@ class TableStore:
         """Write `df` and publish it together with the old partitions `keep` chooses."""
         if base is None and self.exists(name):
             base = self.snapshot(name)
-        version = base.version + 1 if base else 1
+        version = self._next(name)
         if base:
             layout = base.layout
             df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in base.schema])
@@ -217,7 +254,7 @@ class TableStore:
 
     def overwrite(self, name: str, df: DataFrame, layout: Layout = Layout()) -> None:
         """Replace the whole table, its schema and its layout."""
-        version = self.versions(name)[-1] + 1 if self.exists(name) else 1
+        version = self._next(name)
         written = self._write_files(name, df, layout, version)
         schema = nullable(df.schema)
         tops = self._tops(name, schema, layout, written)
@@ -260,39 +297,47 @@ class TableStore:
         columns alone and, for a source small enough to broadcast, moves no row
         of the table. When the partition columns are part of the key, old copies
         can only be in the source's own partitions and the search is left out. Partitions a key has left
-        and that become empty disappear from the table.
+        and that become empty disappear from the table. A source that names a key twice is
+        refused, as there is no telling which row should stay.
         """
-        if not self.exists(name):
-            self._commit(name, source, layout, lambda base, _: ())
-            return
-        base = self.snapshot(name)
-        layout = base.layout
         staged_path = f"{self.root}/{name}/_staged-{uuid.uuid4().hex[:12]}"
-        cast = source.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in base.schema])
-        cast.write.parquet(staged_path)
-        staged = self.spark.read.schema(base.schema).parquet(staged_path)
+        base = self.snapshot(name) if self.exists(name) else None
+        try:
+            if base is not None:
+                source = source.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in base.schema])
+            source.write.parquet(staged_path)
+            staged = self.spark.read.schema(nullable(source.schema)).parquet(staged_path)
+            refuse_repeats(name, staged, keys)
+            if base is None:
+                self._commit(name, staged, layout, lambda base, _: ())
+            else:
+                self._merge_staged(name, base, staged, keys)
+        finally:
+            path = self._path(name, staged_path.rsplit("/", 1)[1])
+            self._fs(path).delete(path, True)
+
+    def _merge_staged(self, name: str, base: Snapshot, staged: DataFrame, keys: Sequence[str]) -> None:
+        layout = base.layout
         new_keys = broadcast_if_small(staged.select(*keys), staged.count())  # counted from file footers
         if not layout.partition_by:
             old = self._read_parts(name, base, base.parts)
             merged = old.join(new_keys, list(keys), "left_anti").select(*base.schema.names)
             self._commit(name, merged.unionByName(staged), layout, lambda *_: (), base)
-        else:
-            touched = partition_values(staged, layout)
-            if not set(layout.partition_by) <= set(keys):
-                whole = self._read_parts(name, base, base.parts).select(*keys, *layout.partition_by)
-                matching = whole.join(new_keys, list(keys), "left_semi")
-                touched |= partition_values(matching, layout)
-            rewritten = [p for p in base.parts if p[0] in touched]
-            untouched = [p for p in base.parts if p[0] not in touched]
-            old = self._read_parts(name, base, rewritten)
-            merged = old.join(new_keys, list(keys), "left_anti").select(*base.schema.names)
-            self._commit(name, merged.unionByName(staged), layout, lambda *_: untouched, base)
-        path = self._path(name, staged_path.rsplit("/", 1)[1])
-        self._fs(path).delete(path, True)
+            return
+        touched = partition_values(staged, layout)
+        if not set(layout.partition_by) <= set(keys):
+            whole = self._read_parts(name, base, base.parts).select(*keys, *layout.partition_by)
+            matching = whole.join(new_keys, list(keys), "left_semi")
+            touched |= partition_values(matching, layout)
+        rewritten = [p for p in base.parts if p[0] in touched]
+        untouched = [p for p in base.parts if p[0] not in touched]
+        old = self._read_parts(name, base, rewritten)
+        merged = old.join(new_keys, list(keys), "left_anti").select(*base.schema.names)
+        self._commit(name, merged.unionByName(staged), layout, lambda *_: untouched, base)
 
     def expire(self, name: str, keep_versions: int = 2) -> None:
         """Delete lists older than the last `keep_versions` and the folders only they use."""
-        known = self.versions(name)
+        known = [v for v in self.versions(name) if self._list(name, v) is not None]
         live = {rel.split("/")[0] for v in known[-keep_versions:] for _, rel in self.snapshot(name, v).parts}
         partly = {rel for v in known[-keep_versions:] for _, rel in self.snapshot(name, v).parts}
         for version in known[:-keep_versions]:
