@@ -263,12 +263,12 @@ def build_marts(
 
 def applicable(checks: Sequence[Check], never_loaded: set[str]) -> list[Check]:
     """Without references to, and freshness of, tables that no batch has loaded yet: there is nothing to compare with."""
-    fed_by = {f"stg_{t}": t for t in ENTITIES} | {f"raw_{t}": t for t in ENTITIES} | core.FED_BY
+    fed_by = {f"stg_{t}": t for t in ENTITIES} | core.FED_BY
     return [
         c
         for c in checks
         if fed_by.get(c.parent) not in never_loaded
-        and not (c.check_type == "freshness" and fed_by.get(c.target_table) in never_loaded)
+        and not (c.check_type == "freshness" and c.target_dataset == "raw" and c.target_table in never_loaded)
     ]
 
 
