@@ -58,6 +58,20 @@ def stored(df: DataFrame, purpose: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sampled(df: DataFrame, columns: dict, by: list, rows: int) -> list:
+    """At most `rows` rows of `columns` (name to expression), those with the smallest hashes of `by`, one per hash.
+
+    The hashes are ranked first, so a task sends no row that is not wanted, however many tasks there are.
+    """
+    keyed = df.select(F.xxhash64(*by).alias("__hash"), *(c.alias(n) for n, c in columns.items()))
+    ranked = keyed.select("__hash").distinct().orderBy("__hash").limit(rows)
+    largest = ranked.agg(F.max("__hash")).first()[0]
+    if largest is None:
+        return []
+    chosen = keyed.where(F.col("__hash") <= largest).groupBy("__hash").agg(F.min(F.struct(*columns)).alias("row"))
+    return [r["row"] for r in sorted(chosen.collect(), key=lambda r: r["__hash"])]
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

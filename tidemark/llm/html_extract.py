@@ -7,8 +7,8 @@ states meet on an edge. Sum-product messages, leaves to root and root to leaves,
 node's marginal, and the text of nodes whose marginal is over one half is the main text.
 
 The model is fitted on labelled pages: a few built-in ones, and up to `pages` pages of the
-corpus that say with <article> or <main> where their content is (fewest hash first; this bound
-is the only sampling). It is a few dozen numbers and goes to the tasks in the closure.
+corpus that say with <article> or <main> where their content is (smallest hashes first, of at most
+LONGEST bytes; this is the only sampling). It is a few dozen numbers and goes to the tasks in the closure.
 
 Defined results: null or empty html gives an empty text; tags cut off at the end of a page are
 dropped; references without a name stay as they are; <br> is white space inside its block;
@@ -28,7 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import sampled
+
 LABELLED_PAGES = 300
+LONGEST = 100_000  # bytes of a page to learn from
 
 # Element names of the HTML standard.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -304,8 +307,9 @@ def fit(pages: Sequence[str], rounds: int = 150, penalty: float = 1e-4) -> TreeM
 def train(pages: DataFrame, page_id: str = "page_id", html: str = "html", limit: int = LABELLED_PAGES) -> TreeModel:
     """Fit on the built-in pages and at most `limit` pages of the table that mark their own content."""
     marked = F.lower(F.col(f"`{html}`")).rlike("<(article|main)[\\s>]")
-    sample = pages.where(marked).orderBy(F.xxhash64(F.col(f"`{page_id}`")), F.col(f"`{page_id}`")).select(F.col(f"`{html}`").alias("h")).limit(limit)
-    return fit(_labelled_pages() + [r["h"] for r in sample.collect()])
+    own = {"html": F.col(f"`{html}`")}
+    chosen = sampled(pages.where(marked & (F.octet_length(own["html"]) <= LONGEST)), own, [F.col(f"`{page_id}`"), own["html"]], limit)
+    return fit(_labelled_pages() + [r["html"] for r in chosen])
 
 
 def main_text(pages: DataFrame, model: TreeModel, html: str = "html") -> DataFrame:

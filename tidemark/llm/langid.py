@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import sampled, stored
 from tidemark.operators.reduce import broadcast_if_small
 
 LABELLED_ROWS = 2000
@@ -92,8 +92,8 @@ def code(column: Column) -> Column:
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang", rows: int = LABELLED_ROWS, longest: int = LONGEST) -> TextModel:
     known = labelled.select(F.col(f"`{text}`").alias("text"), code(F.col(f"`{lang}`")).alias("lang"))
     known = known.where(F.col("lang").isNotNull() & (F.octet_length("text") <= longest))
-    sample = known.orderBy(F.xxhash64("text", "lang"), "text", "lang").limit(rows).collect()
-    return fit([(r["text"].encode(), r["lang"]) for r in sample])
+    both = {"text": F.col("text"), "lang": F.col("lang")}
+    return fit([(r["text"].encode(), r["lang"]) for r in sampled(known, both, ["text", "lang"], rows)])
 
 
 def softmax(logs: np.ndarray) -> np.ndarray:
