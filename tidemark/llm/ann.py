@@ -9,7 +9,7 @@ many is calibrated on held-out sample vectors, as few as reach the wanted recall
 Parts above `chunk_rows` rows are cut into chunks by id, so a vector that very many rows share is no
 hot group: a task holds one chunk and streams over blocks of the queries routed to its part. Each
 returns the best of its chunk, in double precision on the original vectors, and the best of those
-per query are kept. Only the fitted model and the row counts of the parts reach the driver.
+per query are kept; that is `near` rows per query and chunk searched, so chunks are as large as memory allows. Only the fitted model and the row counts of the parts reach the driver.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite numbers take no part,
 nor do rows without id or whose length is not the most frequent one (the longer of equal counts); rows
@@ -29,12 +29,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import sampled, stored
 
 SAMPLE_ROWS = 4096
-PART_ROWS = 2048
+PART_ROWS = 8192
 MOST_PARTS = 64
-CHUNK_ROWS = 4096
+CHUNK_ROWS = 16_384
 RECALL = 0.96
 GRAPH_DEGREE = 10
 QUERY_BLOCK = 256
@@ -256,14 +256,15 @@ def nearest_neighbours(
     vector: str = "embedding",
     sample_rows: int = SAMPLE_ROWS,
     recall: float = RECALL,
+    part_rows: int = PART_ROWS,
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): of the rows where `is_query` (over column vec_id) the nearest other rows, by inner product."""
     rows = stored(usable_rows(df, vec_id, vector), "vectors")
     total = rows.count()
-    drawn = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).select("vector").collect()
+    drawn = sampled(rows, {"vector": F.col("vector")}, ["vec_id"], sample_rows)
     sample = np.array([r["vector"] for r in drawn], dtype=np.float64)
-    parts = min(MOST_PARTS, -(-total // PART_ROWS))
+    parts = min(MOST_PARTS, -(-total // part_rows))
     # In the sample, so many neighbours lie as close as the wanted ones do in the table.
     alike = max(2, -(-near * len(sample) // max(total, 1)))
     router = fit(sample, parts, alike, recall)
