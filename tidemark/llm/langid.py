@@ -34,7 +34,8 @@ LABELLED_ROWS = 2000
 LONGEST = 20_000
 BUCKETS = 1 << 15
 EVIDENCE = 200  # trigrams a text counts for at most: neighbouring ones are not independent
-NEITHER = 1e-4  # prior of text in no known language
+NEITHER = 1e-6  # prior of text in no known language
+FOREIGN = 0.1  # share of trigrams of no language in any text
 SMOOTHING = 10.0
 PIECE = 1 << 20
 UNKNOWN = "und"
@@ -79,7 +80,9 @@ def fit(rows: list[tuple[bytes, str]]) -> TextModel:
         for found in trigrams(text):
             counts[:, languages.index(lang)] += np.bincount(found, minlength=BUCKETS)
     smooth = counts + 0.05
-    table = np.log(smooth / smooth.sum(axis=0, keepdims=True)) if languages else np.zeros((BUCKETS, 0))
+    shares = smooth / smooth.sum(axis=0, keepdims=True) if languages else smooth
+    # A language also holds some text of no language (keys, numbers, names): one odd stretch does not outweigh the rest.
+    table = np.log((1 - FOREIGN) * shares + FOREIGN / BUCKETS)
     return TextModel(languages, np.hstack([table, np.full((BUCKETS, 1), -np.log(BUCKETS))]).astype(np.float32))
 
 
