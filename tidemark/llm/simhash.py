@@ -16,11 +16,15 @@ stars, so a group of n near copies gives about n links and not n squared.
 Defined results: a null text counts as empty; texts without words have fingerprint zero
 and are linked to each other; repeated rows share their component; null ids are ignored
 when the smallest id of a component is taken (null if there is no other).
+
+The corpus pipeline (keep_one) has another contract: documents whose sets of 5-word shingles have a Jaccard
+similarity of 0.8 or more are near copies. The grid meets few pairs so far apart, so candidates come from MinHash
+bands there; SimHash words drop pairs that are clearly different, and every link is verified on the two texts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -66,8 +70,12 @@ def remix(hashes: np.ndarray, turn: int) -> np.ndarray:
 
 def fingerprint(data: bytes, words: int, turns: int = 1) -> list[int]:
     """`turns` words of 64 bits; a bit is set if it is set in over half of the shingle hashes."""
+    return majority(shingle_hashes(data, words), turns)
+
+
+def majority(blocks: Iterable[np.ndarray], turns: int) -> list[int]:
     total, counts = 0, np.zeros((turns, 64), dtype=np.int64)
-    for hashes in shingle_hashes(data, words):
+    for hashes in blocks:
         total += len(hashes)
         for turn in range(turns):
             octets = remix(hashes, turn).view(np.uint8).reshape(-1, 8)
@@ -247,8 +255,190 @@ def near_components(
     return prints.join(labelled, names).select("doc_id", *names, "component_id")
 
 
-# For the corpus: three fingerprint words of 5-word shingles; 29 of 192 bits is what a Jaccard similarity of 0.8 gives on average.
-CORPUS = {"words": 5, "turns": 3, "bits": 29}
+# For the corpus. Bands of five minima: a pair at similarity 0.8 shares one of 20 with probability 0.9996. A similarity
+# of 0.8 gives 29 differing bits of 192 on average with a deviation of 5; the bound only spares comparisons of texts.
+CORPUS = {"words": 5, "turns": 3, "bits": 64}
+BANDS, DEPTH = 20, 5
+SIMILAR = (4, 5)  # shared shingles of all shingles of a pair, at least
+HUB = 64  # pairs of a node that are verified together
+_DRAWS = np.random.default_rng(SEED).integers(0, 2**63, (2, BANDS * DEPTH, 1), dtype=np.uint64)
+_XOR, _ODD = _DRAWS[0], _DRAWS[1] * np.uint64(2) + np.uint64(1)
+
+
+def shingle_set(data: bytes, words: int) -> np.ndarray:
+    blocks = list(shingle_hashes(data, words))
+    return np.unique(np.concatenate(blocks)) if blocks else np.empty(0, dtype=np.uint64)
+
+
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two shingle sets have the wanted Jaccard similarity; empty ones are equal."""
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return shared * SIMILAR[1] >= (len(a) + len(b) - shared) * SIMILAR[0]
+
+
+def bands(shingles: np.ndarray) -> np.ndarray:
+    """One hash per band of minima, none for an empty set."""
+    if not len(shingles):
+        return np.empty(0, dtype=np.int64)
+    least = np.full(BANDS * DEPTH, 2**64 - 1, dtype=np.uint64)
+    for at in range(0, len(shingles), 4096):
+        least = np.minimum(least, ((shingles[None, at : at + 4096] ^ _XOR) * _ODD).min(axis=1))
+    mixed = np.arange(BANDS, dtype=np.uint64)
+    for k in range(DEPTH):
+        mixed = remix(mixed ^ least[k::DEPTH], k + 1)
+    return mixed.view(np.int64)
+
+
+def sketches(docs: DataFrame, words: int, turns: int) -> DataFrame:
+    """(doc_id, s0, s1, w0, ..., bands) per row of (doc_id, text); s0 and s1 are a digest of the shingle set."""
+    names = ["s0", "s1", *[f"w{k}" for k in range(turns)]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, found = [], []
+            for data in utf8_list(batch.column(1)):
+                blocks = list(shingle_hashes(data, words))
+                own = np.unique(np.concatenate(blocks)) if blocks else np.empty(0, dtype=np.uint64)
+                digest = np.frombuffer(xxhash.xxh3_128_digest(own.tobytes()), dtype=np.int64).tolist()
+                rows.append([*digest, *majority(blocks, turns)])
+                found.append(bands(own))
+            numbers = np.array(rows, dtype=np.int64).reshape(-1, len(names))
+            columns = [pa.array(numbers[:, k]) for k in range(len(names))] + [pa.array(found, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", *names, "bands"])
+
+    longs = ", ".join(f"{n} long" for n in names)
+    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {longs}, bands array<long>")
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows whose band another row has too; rows come sorted by band."""
+    kept: pa.RecordBatch | None = None
+    shared = False  # whether the band of the kept row was met before it
+    for batch in batches:
+        rows = batch if kept is None else pa.Table.from_batches([kept, batch]).combine_chunks().to_batches()[0]
+        if not rows.num_rows:
+            continue
+        band = rows.column(0).to_numpy()
+        same = band[1:] == band[:-1]
+        several = np.concatenate([[shared], same]) | np.concatenate([same, [False]])
+        shared = bool(several[-1])
+        yield rows.filter(pa.array(np.concatenate([several[:-1], [False]])))
+        kept = rows.slice(len(band) - 1)
+    if kept is not None and shared:
+        yield kept
+
+
+def _pairs(batches: Iterator[pa.RecordBatch], turns: int, bits: int, rest: bool) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b) of a band within `bits` bits; rows (band, node, root, words) come sorted by band and node.
+
+    First each node with the smallest and with the one before it; then (`rest`) all other pairs that are not connected yet.
+    """
+    width = 1 << 20
+
+    def out(rows: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
+        apart = sum(np.bitwise_count((w[left] ^ w[right]).view(np.uint64)).astype(np.int16) for w in rows[3:])
+        hit = (apart <= bits) & (rows[2][left] != rows[2][right])
+        return pa.RecordBatch.from_arrays([pa.array(rows[1][right[hit]]), pa.array(rows[1][left[hit]])], ["a", "b"])
+
+    def complete(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        """Pairs of rows that hold whole bands."""
+        size = len(rows[0])
+        new = np.concatenate([[True], rows[0][1:] != rows[0][:-1]])
+        begins = np.flatnonzero(new)
+        lengths = np.diff(np.concatenate([begins, [size]]))
+        begin = np.repeat(begins, lengths)
+        at = np.arange(size)
+        if not rest:
+            yield out(rows, begin[~new], at[~new])
+            later = at - begin > 1
+            yield out(rows, at[later] - 1, at[later])
+            return
+        # Each row with the rows before it, without the first of the band and the neighbour.
+        many = np.maximum(at - begin - 2, 0)
+        until = np.cumsum(many)
+        done = 0
+        while done < size:
+            base = until[done - 1] if done else 0
+            stop = max(int(np.searchsorted(until, base + width, side="right")), done + 1)
+            n = many[done:stop]
+            right = np.repeat(at[done:stop], n)
+            left = np.arange(len(right)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(begin[done:stop] + 1, n)
+            yield out(rows, left, right)
+            done = stop
+
+    kept: list[np.ndarray] | None = None
+    for batch in batches:
+        rows = [c.to_numpy() for c in batch.columns]
+        if kept is not None:
+            rows = [np.concatenate(c) for c in zip(kept, rows)]
+        if not len(rows[0]):
+            continue
+        last = int(np.searchsorted(rows[0], rows[0][-1]))
+        if last:
+            yield from complete([c[:last] for c in rows])
+        kept = [c[last:] for c in rows]
+    if kept is not None:
+        yield from complete(kept)
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, words: int, purpose: str) -> DataFrame:
+    """The pairs whose texts are similar. A text that many pairs name is dealt out in copies, one per HUB pairs."""
+    pairs = stored(pairs.distinct(), f"{purpose}-pairs")
+    hubs = pairs.groupBy("b").agg(F.ceil(F.count("*") / HUB).cast("int").alias("chunks"))
+    hubs = hubs.join(texts, hubs.b == texts.node).select("b", "chunks", F.col("text").alias("other"))
+    hubs = hubs.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    chunks = pairs.groupBy("b").agg(F.ceil(F.count("*") / HUB).cast("int").alias("chunks"))
+    dealt = pairs.join(chunks, "b").select("a", "b", F.pmod(F.hash("a"), F.col("chunks")).alias("chunk"))
+    own = dealt.join(texts, dealt.a == texts.node).select("a", "b", "chunk", "text")
+    both = own.join(hubs, ["b", "chunk"]).select("a", "b", "text", "other")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub, held = None, None
+        for batch in batches:
+            a, b = (batch.column(k).to_numpy() for k in (0, 1))
+            own, other = (column.cast(pa.binary()) for column in (batch.column(2), batch.column(3)))
+            good = np.zeros(len(a), dtype=bool)
+            for k in range(len(a)):
+                if held is None or hub != b[k]:
+                    hub, held = b[k], shingle_set(other[k].as_py(), words)
+                good[k] = similar(shingle_set(own[k].as_py(), words), held)
+            yield pa.RecordBatch.from_arrays([pa.array(a[good]), pa.array(b[good])], ["a", "b"])
+
+    return stored(both.mapInArrow(run, "a long, b long"), f"{purpose}-links")
+
+
+def similar_components(docs: DataFrame, words: int, turns: int, bits: int) -> DataFrame:
+    """(doc_id, component_id) per row of (doc_id, text): the smallest id reachable over similar pairs that met in a band."""
+    spark = docs.sparkSession
+    names = [f"w{k}" for k in range(turns)]
+    prints = stored(sketches(docs, words, turns), "sketches")
+    # The words differ between equal sets with other counts; any of them will do for the bound.
+    classes = prints.groupBy("s0", "s1").agg(F.min("doc_id").alias("first"), F.min(F.struct(*names, "bands")).alias("one"))
+    classes = classes.select("s0", "s1", "first", *(f"one.{n}" for n in names), "one.bands", F.monotonically_increasing_id().alias("node"))
+    classes = stored(classes, "shingle-classes")
+    longs = "band long, node long, " + ", ".join(f"{n} long" for n in names)
+    rows = classes.select(F.explode("bands").alias("band"), "node", *names)
+    rows = rows.repartition(partitions(spark), "band").sortWithinPartitions("band", "node")
+    met = stored(rows.mapInArrow(_met, longs), "bands-met")
+
+    def candidates(rooted: DataFrame, rest: bool) -> DataFrame:
+        dealt = rooted.select("band", "node", "root", *names).repartition(partitions(spark), "band").sortWithinPartitions("band", "node")
+        return dealt.mapInArrow(lambda it: _pairs(it, turns, bits, rest), "a long, b long")
+
+    wanted = met.select("node").distinct().join(classes.select("node", "first"), "node")
+    found = docs.select(F.col("doc_id").alias("name"), "text").join(
+        wanted, F.col("name.id").eqNullSafe(F.col("first.id")) & (F.col("name.key") == F.col("first.key"))
+    )
+    texts = stored(found.select("node", "text").dropDuplicates(["node"]), "met-texts")
+    links = _verified(candidates(met.withColumn("root", F.col("node")), False), texts, words, "star")
+    roots = component_roots(links)
+    rooted = met.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    more = _verified(candidates(rooted, True), texts, words, "rest")
+    roots = component_roots(links.union(more))
+    rooted = stored(classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
+    smallest = stored(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "component-ids")
+    labelled = stored(rooted.join(smallest, "root").select("s0", "s1", "component_id"), "labelled")
+    return prints.join(labelled, ["s0", "s1"]).select("doc_id", "component_id")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -258,7 +448,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **opti
     """
     key = F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
     named = docs.select(F.struct(F.col(f"`{doc_id}`").alias("id"), key.alias("key")).alias("name"), F.col(f"`{text}`").alias("text"))
-    found = near_components(named, doc_id="name", **{**CORPUS, **options})
+    found = similar_components(id_and_text(named, "name", "text"), **{**CORPUS, **options})
     gone = found.where("doc_id <> component_id").select(F.col("doc_id.id").alias("__id"), F.col("doc_id.key").alias("__key"))
     gone = stored(gone.distinct(), "near-copies")
     same = F.col(f"`{doc_id}`").eqNullSafe(F.col("__id")) & (key == F.col("__key"))
