@@ -5,8 +5,9 @@ one for text in none of them), the language its markup declares, and where it co
 prior of a host is smoothed in levels: its own counts, backed by those of its address suffix,
 backed by those of all rows. Counts are sums of text-only posteriors, grouped over all rows.
 
-The text model is fitted on at most `rows` labelled rows of at most `longest` bytes (smallest
-hashes first; this is the only sampling). Host priors are joined, and broadcast only if they
+The text model is fitted on every labelled code: the codes of all rows are counted, and `rows` is shared out among
+them, FEWEST rows a code at least (smallest hashes first, texts of at most `longest` bytes, or the beginnings of
+longer ones for a code without such; this is the only sampling). Host priors are joined, and broadcast only if they
 were counted and are small. Declared codes have two or three letters, so at most 18,252 exist.
 
 Defined results: a row is `und` if the uniform model wins or no language reaches half the
@@ -27,10 +28,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import sampled, stored
+from tidemark.llm.common import stored
 from tidemark.operators.reduce import broadcast_if_small
 
 LABELLED_ROWS = 2000
+FEWEST, MOST = 20, 20_000  # rows of a code, unless that makes more rows than MOST in all
 LONGEST = 20_000
 BUCKETS = 1 << 15
 EVIDENCE = 200  # trigrams a text counts for at most: neighbouring ones are not independent
@@ -94,9 +96,30 @@ def code(column: Column) -> Column:
 
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang", rows: int = LABELLED_ROWS, longest: int = LONGEST) -> TextModel:
     known = labelled.select(F.col(f"`{text}`").alias("text"), code(F.col(f"`{lang}`")).alias("lang"))
-    known = known.where(F.col("lang").isNotNull() & (F.octet_length("text") <= longest))
-    both = {"text": F.col("text"), "lang": F.col("lang")}
-    return fit([(r["text"].encode(), r["lang"]) for r in sampled(known, both, ["text", "lang"], rows)])
+    known = known.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    known = known.withColumn("cut", F.octet_length("text") > longest).withColumn("hash", F.xxhash64("text", "lang"))
+    hashes = stored(known.select("lang", "cut", "hash").distinct(), "label-hashes")
+    found: dict[str, tuple[bool, int]] = {}
+    for r in sorted(hashes.groupBy("lang", "cut").count().collect()):
+        found.setdefault(r["lang"], (r["cut"], r["count"]))  # texts that need no cut come first
+    if not found:
+        return fit([])
+    share = max(rows // len(found), min(FEWEST, MOST // len(found)), 1)
+    # Hashes are spread evenly, so a bound with room to spare holds the wanted ones; exact ranks are taken of those.
+    room = share + 8 * share**0.5 + 16
+    bounds = [(c, cut, -(2**63) + int(2**64 * room / n) if n > room else 2**63 - 1) for c, (cut, n) in found.items()]
+
+    def within(df: DataFrame, limits: list[tuple[str, bool, int]]) -> DataFrame:
+        limited = df.sparkSession.createDataFrame(limits, "lang string, cut boolean, bound long")
+        return df.join(F.broadcast(limited), ["lang", "cut"]).where("hash <= bound")
+
+    least: dict[str, list[int]] = {}
+    for r in within(hashes, bounds).select("lang", "hash").collect():
+        least.setdefault(r["lang"], []).append(r["hash"])
+    last = [(c, found[c][0], sorted(h)[:share][-1]) for c, h in least.items()]
+    text_of = F.substring("text", 1, longest)
+    chosen = within(known, last).groupBy("lang", "hash").agg(F.min(text_of).alias("text")).collect()
+    return fit([(r["text"].encode(), r["lang"]) for r in sorted(chosen, key=lambda r: r["hash"])])
 
 
 def softmax(logs: np.ndarray) -> np.ndarray:
