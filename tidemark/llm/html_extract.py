@@ -197,13 +197,16 @@ class Page(HTMLParser):
         return out
 
 
+def marked_labels(page: Page) -> np.ndarray:
+    """The labels of a built-in page. On other pages data-content is somebody's own attribute."""
+    marked = np.zeros(len(page.tags), dtype=int)
+    for k in range(1, len(page.tags)):
+        marked[k] = int(page.marks[k]) if page.marks[k] is not None else marked[page.parents[k]]
+    return marked
+
+
 def own_labels(page: Page) -> np.ndarray | None:
-    """What a page itself says: marks of labelled pages, else inside <article> or <main> but not in a part around them."""
-    if any(m is not None for m in page.marks):
-        marked = np.zeros(len(page.tags), dtype=int)
-        for k in range(1, len(page.tags)):
-            marked[k] = int(page.marks[k]) if page.marks[k] is not None else marked[page.parents[k]]
-        return marked
+    """What a page itself says: inside <article> or <main> but not in a part around them."""
     if "article" not in page.tags and "main" not in page.tags:
         return None
     inside = np.zeros(len(page.tags), dtype=int)
@@ -273,15 +276,17 @@ class TreeModel:
         return "\n".join(text for node, text in page.blocks if log_odds[node] > 0)
 
 
-def fit(pages: Sequence[str], rounds: int = 150, penalty: float = 1e-4) -> TreeModel:
-    """Edge potentials P(parent, child) / (P(parent) P(child)) from counts, then weights by gradient steps.
+def fit(built_in: Sequence[str], pages: Sequence[str] = (), rounds: int = 150, penalty: float = 1e-4) -> TreeModel:
+    """Fitted on marked pages and on what other pages say themselves.
+
+    Edge potentials P(parent, child) / (P(parent) P(child)) from counts, then weights by gradient steps.
 
     The gradient is that of the likelihood of the labels under the whole tree: features times (marginal - label).
     """
     rows, labels, trees, counts = [], [], [], np.ones((2, 2))
-    for html in pages:
+    for k, html in enumerate([*built_in, *pages]):
         page = Page(html)
-        own = own_labels(page)
+        own = marked_labels(page) if k < len(built_in) else own_labels(page)
         if own is None:
             continue
         rows.append(page.features())
@@ -309,7 +314,7 @@ def train(pages: DataFrame, page_id: str = "page_id", html: str = "html", limit:
     marked = F.lower(F.col(f"`{html}`")).rlike("<(article|main)[\\s>]")
     own = {"html": F.col(f"`{html}`")}
     chosen = sampled(pages.where(marked & (F.octet_length(own["html"]) <= LONGEST)), own, [F.col(f"`{page_id}`"), own["html"]], limit)
-    return fit(_labelled_pages() + [r["html"] for r in chosen])
+    return fit(_labelled_pages(), [r["html"] for r in chosen])
 
 
 def main_text(pages: DataFrame, model: TreeModel, html: str = "html") -> DataFrame:
