@@ -78,6 +78,14 @@ class Warehouse:
     def never_loaded(self) -> set[str]:
         return {t for t in ENTITIES if not self.raw.exists(t) or not self.raw.snapshot(t).parts}
 
+    def not_included(self, tables: Sequence[str]) -> set[str]:
+        """Tables outside `tables` that no batch has loaded; a load of zero rows is a load."""
+        loaded = set()
+        if self.audit.exists("raw_load_runs"):
+            done = self.audit.read("raw_load_runs").where("status = 'raw_load_success'")
+            loaded = {r["source_table"] for r in done.select("source_table").distinct().collect()}
+        return self.never_loaded() - set(tables) - loaded
+
     def tidy(self) -> None:
         """Drop the files only older versions use; the last two stay, for readers that are under way."""
         for store in (self.raw, self.core, self.mart, self.audit):
@@ -261,36 +269,39 @@ def build_marts(
     )
 
 
-def applicable(checks: Sequence[Check], never_loaded: set[str]) -> list[Check]:
-    """Without references to, and freshness of, tables that no batch has loaded yet: there is nothing to compare with."""
+def left_out(checks: Sequence[Check], not_included: set[str]) -> dict[str, str]:
+    """Why checks are left out, by name: references to, and freshness of, tables no batch has included yet."""
     fed_by = {f"stg_{t}": t for t in ENTITIES} | core.FED_BY
-    return [
-        c
+    about = {c.name: fed_by.get(c.parent) for c in checks}
+    about |= {
+        c.name: c.target_table.removeprefix("raw_")
         for c in checks
-        if fed_by.get(c.parent) not in never_loaded
-        and not (c.check_type == "freshness" and c.target_dataset == "raw" and c.target_table in never_loaded)
-    ]
+        if c.check_type == "freshness" and c.target_dataset == "raw"
+    }
+    return {name: f"no batch has included {table} yet" for name, table in about.items() if table in not_included}
 
 
-def test_layer(wh: Warehouse, layer: str) -> None:
+def test_layer(wh: Warehouse, layer: str, tables_of_batch: Sequence[str]) -> None:
     """Run the declared tests of a layer; a failure stops the batch."""
     tables = {"staging": wh.staging_tables, "core": wh.core_tables, "mart": wh.mart_tables}[layer]()
     present = [c for c in layer_checks(layer) if c.target_table in tables]
-    run_checks(wh.spark, applicable(present, wh.never_loaded()), tables)
+    run_checks(wh.spark, present, tables, skipped=left_out(present, wh.not_included(tables_of_batch)))
 
 
 def check_quality(wh: Warehouse, cfg: BatchConfig, now: datetime, names: Sequence[str] | None = None) -> DataFrame:
     """Run the final suite and append its results, passed or not, before blocking."""
     tables = {**wh.raw_tables(), **wh.core_tables(), **wh.mart_tables()}
+    suite = final_suite(cfg.now)
     try:
         results = run_checks(
             wh.spark,
-            applicable(final_suite(cfg.now), wh.never_loaded()),
+            suite,
             tables,
             batch_id=cfg.batch_id,
             execution_date=cfg.extract_date,
             checked_at=now,
             names=names,
+            skipped=left_out(suite, wh.not_included(cfg.tables)),
         )
     except DataQualityError as problem:
         record_quality(wh, problem.results)
@@ -366,11 +377,11 @@ def run_batch(spark: SparkSession, cfg: BatchConfig, source: Source) -> BatchRes
     )
     all_or_raise(loaded)
 
-    test_layer(wh, "staging")
+    test_layer(wh, "staging", cfg.tables)
     build_core(wh)
-    test_layer(wh, "core")
+    test_layer(wh, "core", cfg.tables)
     build_marts(wh, cfg.mart_start, cfg.mart_end, cfg.now, cfg.clear_mart_range)
-    test_layer(wh, "mart")
+    test_layer(wh, "mart", cfg.tables)
     check_quality(wh, cfg, clock())
     counts = {table: done["row_count"] for table, done in extracted.items()}
     moved = state.advance(cfg.watermark_mode, cfg.end_watermark, counts, clock())

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date, datetime, timezone
 from functools import reduce
 
@@ -15,7 +15,7 @@ from tidemark.schemas import QUALITY_RESULTS
 
 
 # Outcomes in the result table; the id is day, name and eight hex digits.
-PASS, FAIL, ERROR = "pass", "fail", "error"
+PASS, FAIL, ERROR, SKIPPED = "pass", "fail", "error", "skipped"
 
 
 class DataQualityError(RuntimeError):
@@ -102,19 +102,25 @@ def run(
     checked_at: datetime | None = None,
     names: Sequence[str] | None = None,
     raise_on_failure: bool = True,
+    skipped: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Result rows of every check; raises `DataQualityError` after all have run.
+    """Result rows of every check; those in `skipped` (name to reason) are not evaluated. Raises `DataQualityError` after all have run.
 
     A WARN check never fails the suite; an ERROR check does if it fails or
     cannot be evaluated (count -1).
     """
     chosen = select_checks(checks, names)
     at = checked_at or datetime.now(timezone.utc)
-    counts = _count_all(chosen, tables)
+    skipped = skipped or {}
+    counts = _count_all([c for c in chosen if c.name not in skipped], tables)
+    counts |= {c.name: (0, skipped[c.name]) for c in chosen if c.name in skipped}
     found = [_result(c, *counts[c.name], at, batch_id, execution_date or at.date()) for c in chosen]
+    for result in found:
+        if result["check_name"] in skipped:
+            result["status"] = SKIPPED
     rows = [tuple(result[column] for column in QUALITY_RESULTS.names) for result in found]
     results = spark.createDataFrame(rows, QUALITY_RESULTS)
-    blocking = [r["check_name"] for r in found if r["severity"] == "ERROR" and r["status"] != PASS]
+    blocking = [r["check_name"] for r in found if r["severity"] == "ERROR" and r["status"] not in (PASS, SKIPPED)]
     if blocking and raise_on_failure:
         raise DataQualityError(blocking, results)
     return results
