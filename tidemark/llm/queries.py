@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bpe, html_extract, langid, packing, secret_scan, sharding, suffix_dedup
+from tidemark.llm import ann, bpe, html_extract, langid, packing, secret_scan, sharding, suffix_dedup, va_search
 from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import DigestIndex
 from tidemark.llm.simhash import near_components
@@ -92,6 +92,11 @@ def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_va_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 other vectors with the largest integer inner product of every vector whose id is divisible by 50."""
+    return va_search.exact_search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 REGISTRY: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_learned_partitions": op2_learned_partitions,
@@ -103,6 +108,7 @@ REGISTRY: dict[str, Query] = {
     "op8_html_extract": op8_html_extract,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_hilbert_shards": op10_hilbert_shards,
+    "op13_va_search": op13_va_search,
 }
 
 SQL: dict[str, str] = {
@@ -120,4 +126,20 @@ SQL: dict[str, str] = {
         from d
         window w as (partition by text_sha256)
     """,
+    "op13_va_search": """
+        with v as (
+            select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as ints
+            from embeddings
+            where vec_id is not null and embedding is not null
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ), scored as (
+            select q.vec_id as query_id, c.vec_id, list_dot_product(q.ints, c.ints)::bigint as score
+            from v q join v c on q.vec_id <> c.vec_id
+            where q.vec_id % 50 = 0
+        ), ranked as (
+            select *, (row_number() over (partition by query_id order by score desc, vec_id))::int as rank
+            from scored
+        )
+        select query_id, rank, vec_id, score from ranked where rank <= 5
+    """,
 }
