@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bpe, html_extract, langid, packing, secret_scan, sharding, suffix_dedup, va_search
+from tidemark.llm import ann, bpe, conversations, html_extract, langid, packing, secret_scan, sharding, suffix_dedup, va_search
 from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import DigestIndex
 from tidemark.llm.simhash import near_components
@@ -92,6 +92,11 @@ def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the damage did to every conversation, and its cheapest repair."""
+    return conversations.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 def op13_va_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 other vectors with the largest integer inner product of every vector whose id is divisible by 50."""
     return va_search.exact_search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
@@ -108,9 +113,18 @@ REGISTRY: dict[str, Query] = {
     "op8_html_extract": op8_html_extract,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_hilbert_shards": op10_hilbert_shards,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_va_search": op13_va_search,
 }
 
+# CRC-32 in SQL: its table of 256 numbers by rule, and one step a byte.
+CRC_TABLE = """
+    select list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z:
+               case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as crc
+"""
+CRC = "xor(list_reduce([4294967295] || {octets}, lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295)"
+ASCII_CODES = "list_transform(string_split({text}, ''), lambda x: ascii(x)::bigint)"
+
 SQL: dict[str, str] = {
     "op1_exact_dedup": """
         with d as (
@@ -126,6 +140,79 @@ SQL: dict[str, str] = {
         from d
         window w as (partition by text_sha256)
     """,
+    "op12_conversation_repair": f"""
+        with recursive crc as ({CRC_TABLE}),
+        named as (
+            select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+                   coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as name
+            from conversations
+        ), kinds as (
+            select named.*, {CRC.format(octets=ASCII_CODES.format(text="name"))} % 20 as kind from named, crc
+        ), hurt as (
+            select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+                   case kind when 1 then '' when 2 then translate(text, '.!?', '') else text end as text,
+                   unnest(case when kind = 3 then [0, 1] else [0] end) as copy
+            from kinds where kind <> 0
+        ), placed as (
+            select *, row_number() over w as place,
+                   row_number() over (partition by conv_id, role, text order by turn nulls first) as times,
+                   lead(role) over w as follower
+            from hurt
+            window w as (partition by conv_id order by turn nulls first, role, text)
+        ), coded as (
+            select *, left(role, 1) as initial,
+                   case when not regexp_matches(text, '[^\\x20\\x09-\\x0D]') then 'blank'
+                        when times > 1 then 'duplicate'
+                        when not regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') then 'truncated'
+                        else '' end as fault
+            from placed
+        ), sums as (
+            select conv_id, count(*) as n,
+                   coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0)::bigint as gaps,
+                   count(*) filter (fault = 'blank') as blank,
+                   count(*) filter (fault = 'duplicate') as duplicate,
+                   count(*) filter (fault = 'truncated') as truncated,
+                   count(*) filter (follower is not null and initial || left(follower, 1) not in ('su', 'ua', 'au')) as illegal
+            from coded group by conv_id
+        ), inserts(state, reached, lines) as (
+            values ('-', '-', []::varchar[]), ('-', 'u', ['user:']), ('-', 'a', ['user:', 'assistant:']),
+                   ('s', 's', []), ('s', 'u', ['user:']), ('s', 'a', ['user:', 'assistant:']),
+                   ('u', 'u', []), ('u', 'a', ['assistant:']), ('a', 'a', []), ('a', 'u', ['user:'])
+        ), steps(state, given, reached) as (
+            values ('-', 's', 's'), ('-', 'u', 'u'), ('s', 'u', 'u'), ('u', 'a', 'a'), ('a', 'u', 'u')
+        ), edits as (
+            select conv_id, place, state, state as reached, 2 as cost, 'D' as letter, []::varchar[] as lines
+            from coded, (select distinct state from inserts)
+            union all
+            select conv_id, place, state, reached, case when fault = '' then 0 else 5 end, 'K', [role || ':' || text]
+            from coded join steps on given = initial where fault in ('', 'truncated')
+            union all
+            select conv_id, place, state, reached, case when fault = '' then 1 else 6 end, 'R',
+                   [case given when 'u' then 'user' else 'assistant' end || ':' || text]
+            from coded join steps on given <> 's' where fault in ('', 'truncated')
+        ), paths(conv_id, place, state, best) as (
+            select conv_id, n + 1, state, min({{'cost': 5 * len(lines), 'audit': repeat('I', len(lines)), 'lines': lines}})
+            from sums, inserts where reached = 'a' or reached = '-' group by all
+            union all
+            select paths.conv_id, edits.place, inserts.state,
+                   min({{'cost': best.cost + edits.cost + 5 * len(inserts.lines),
+                        'audit': repeat('I', len(inserts.lines)) || letter || best.audit,
+                        'lines': inserts.lines || edits.lines || best.lines}})
+            from paths
+            join edits on edits.conv_id is not distinct from paths.conv_id and edits.place = paths.place - 1 and edits.reached = paths.state
+            join inserts on inserts.reached = edits.state
+            group by paths.conv_id, edits.place, inserts.state
+        ), solved as (
+            select conv_id, best.cost::bigint as cost, best.audit, sha256(array_to_string(best.lines, chr(10))) as repaired_sha256
+            from paths where place = 1 and state = '-'
+        )
+        select c.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+               coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, coalesce(cost, 0) as cost,
+               coalesce(audit, '') as audit, coalesce(repaired_sha256, sha256('')) as repaired_sha256
+        from (select distinct conv_id from conversations) c
+        left join sums on sums.conv_id is not distinct from c.conv_id
+        left join solved on solved.conv_id is not distinct from c.conv_id
+    """,
     "op13_va_search": """
         with v as (
             select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as ints
