@@ -155,10 +155,10 @@ SQL: dict[str, str] = {
             from kinds where kind <> 0
         ), placed as (
             select *, row_number() over w as place,
-                   row_number() over (partition by conv_id, role, text order by turn nulls first) as times,
+                   row_number() over (partition by conv_id, role, text order by turn nulls first, copy) as times,
                    lead(role) over w as follower
             from hurt
-            window w as (partition by conv_id order by turn nulls first, role, text)
+            window w as (partition by conv_id order by turn nulls first, role, text, copy)
         ), coded as (
             select *, left(role, 1) as initial,
                    case when not regexp_matches(text, '[^\\x20\\x09-\\x0D]') then 'blank'
