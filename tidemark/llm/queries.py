@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bpe, conversations, html_extract, langid, packing, secret_scan, sharding, suffix_dedup, va_search
+from tidemark.llm import ann, bpe, conversations, html_extract, langid, packing, secret_scan, sharding, spelling, suffix_dedup, va_search
 from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import DigestIndex
 from tidemark.llm.simhash import near_components
@@ -92,6 +92,11 @@ def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with its form, the last form reached, and its counts."""
+    return spelling.spelling_forms(table(spark, sf_dir, "documents"))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the damage did to every conversation, and its cheapest repair."""
     return conversations.repair_damaged(table(spark, sf_dir, "conversations"))
@@ -113,6 +118,7 @@ REGISTRY: dict[str, Query] = {
     "op8_html_extract": op8_html_extract,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_hilbert_shards": op10_hilbert_shards,
+    "op11_spelling_groups": op11_spelling_groups,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_va_search": op13_va_search,
 }
@@ -123,6 +129,7 @@ CRC_TABLE = """
                case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as crc
 """
 CRC = "xor(list_reduce([4294967295] || {octets}, lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295)"
+OCTETS = "list_transform(range(octet_length(encode({text}))), lambda i: ('0x' || substr(hex(encode({text})), 2 * i::int + 1, 2))::bigint)"
 ASCII_CODES = "list_transform(string_split({text}, ''), lambda x: ascii(x)::bigint)"
 
 SQL: dict[str, str] = {
@@ -140,6 +147,41 @@ SQL: dict[str, str] = {
         from d
         window w as (partition by text_sha256)
     """,
+    "op11_spelling_groups": f"""
+        with recursive crc as ({CRC_TABLE}),
+        runs as (
+            select doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[A-Za-z\u00C0-\u00FF]+')) as run
+            from documents
+        ), named as (
+            select run, coalesce(doc_id::varchar, '') || ':' || run as name, count(*) as n from runs where length(run) >= 5 group by all
+        ), hashed as (
+            select run, n, {CRC.format(octets=OCTETS.format(text="name"))} as h from named, crc
+        ), words as materialized (
+            select case when h % 97 = 0 then left(run, (h % length(run))::int) || substr(run, (h % length(run))::int + 2) else run end as word, sum(n)::bigint as n
+            from hashed group by 1 having sum(n) >= 3 and length(word) >= 5
+        ), shorter as (
+            select word, n, cut, left(word, cut - 1) || substr(word, cut + 1) as rest
+            from (select word, n, unnest(range(1, length(word) + 1)) as cut from words)
+        ), near as (
+            select a.word, b.word as other, b.n as m from shorter a join shorter b on a.cut = b.cut and a.rest = b.rest and a.word <> b.word
+            union
+            select a.word, b.word, b.n from shorter a join words b on a.rest = b.word
+            union
+            select b.word, a.word, a.n from shorter a join words b on a.rest = b.word
+        ), best as (
+            select word, count(*) as n_near, min({{'less': -m, 'form': other}}) as best from near group by word
+        ), forms as materialized (
+            select words.word, n, coalesce(n_near, 0) as n_near,
+                   case when -best.less >= 2 * n then best.form end as form, case when -best.less >= 2 * n then -best.less end as form_n
+            from words left join best on best.word = words.word
+        ), chains(word, root, ahead) as (
+            select word, word, form from forms
+            union all
+            select chains.word, forms.word, forms.form from chains join forms on forms.word = chains.ahead
+        )
+        select forms.word, form, root, n, n_near, form_n from forms join chains on chains.word = forms.word where chains.ahead is null
+    """,
     "op12_conversation_repair": f"""
         with recursive crc as ({CRC_TABLE}),
         named as (
