@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.reduce import broadcast_if_small
+from tidemark.sources.locator import KeyLocator
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
@@ -64,9 +65,12 @@ def refuse_repeats(name: str, source: DataFrame, keys: Sequence[str]) -> None:
 
 
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str):
+    """Tables below `root`. With `locate`, upserts into partitioned tables find old copies by a `KeyLocator`."""
+
+    def __init__(self, spark: SparkSession, root: str, locate: bool = False):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.locate = locate
 
     # -- file system -----------------------------------------------------------
 
@@ -94,9 +98,6 @@ class TableStore:
     def exists(self, name: str) -> bool:
         return any(self._list(name, version) is not None for version in reversed(self.versions(name)))
 
-    def _next(self, name: str) -> int:
-        return max(self.versions(name), default=0) + 1
-
     def snapshot(self, name: str, version: int | None = None) -> Snapshot:
         known = self.versions(name) if version is None else [version]
         data = None
@@ -114,7 +115,7 @@ class TableStore:
         )
 
     def _list(self, name: str, version: int) -> dict | None:
-        """The content of a list; None while its writer has not finished it, or died before."""
+        """The content of a list; None if it is cut short."""
         path = self._path(name, "_log", f"{version:012d}.json")
         stream = self._fs(path).open(path)
         try:
@@ -127,7 +128,7 @@ class TableStore:
             return None
 
     def _publish(self, name: str, snapshot: Snapshot) -> None:
-        """Create the next list; of two writers with the same number one fails."""
+        """Put the finished list in its place; of two writers with the same number one fails."""
         text = json.dumps(
             {
                 "schema": snapshot.schema.jsonValue(),
@@ -139,17 +140,23 @@ class TableStore:
             }
         )
         target = self._path(name, "_log", f"{snapshot.version:012d}.json")
+        draft = self._path(name, "_log", f"_{snapshot.version:012d}-{uuid.uuid4().hex}")
+        out = self._fs(draft).create(draft, False)
+        try:
+            out.write(bytearray(text, "utf-8"))
+        finally:
+            out.close()
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        no_options = self.spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+        context = hadoop.FileContext.getFileContext(target.toUri(), self.spark._jsparkSession.sessionState().newHadoopConf())
         try:
-            out = self._fs(target).create(target, False)  # never over an existing list
+            context.rename(draft, target, no_options)  # never over an existing list
         except Py4JJavaError as problem:
+            self._fs(draft).delete(draft, False)
             if "FileAlreadyExists" not in str(problem.java_exception):
                 raise
             taken = f"version {snapshot.version} of {name} was published by another writer"
             raise ConcurrentWrite(taken) from problem
-        try:
-            out.write(bytearray(text, "utf-8"))
-        finally:
-            out.close()
 
     # -- reading ---------------------------------------------------------------
 
@@ -227,7 +234,7 @@ class TableStore:
         """Write `df` and publish it together with the old partitions `keep` chooses."""
         if base is None and self.exists(name):
             base = self.snapshot(name)
-        version = self._next(name)
+        version = base.version + 1 if base else 1
         if base:
             layout = base.layout
             df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in base.schema])
@@ -254,7 +261,7 @@ class TableStore:
 
     def overwrite(self, name: str, df: DataFrame, layout: Layout = Layout()) -> None:
         """Replace the whole table, its schema and its layout."""
-        version = self._next(name)
+        version = self.snapshot(name).version + 1 if self.exists(name) else 1
         written = self._write_files(name, df, layout, version)
         schema = nullable(df.schema)
         tops = self._tops(name, schema, layout, written)
@@ -293,8 +300,8 @@ class TableStore:
         """Keyed upsert that rewrites only the partitions holding old or new copies of a key.
 
         The source is written first, so it is computed once and its size is
-        known. Old copies are looked for by a semi join that reads the key
-        columns alone and, for a source small enough to broadcast, moves no row
+        known. Old copies are looked for in the key locator or, in a store without, by a semi join that
+        reads the key columns alone and, for a source small enough to broadcast, moves no row
         of the table. When the partition columns are part of the key, old copies
         can only be in the source's own partitions and the search is left out. Partitions a key has left
         and that become empty disappear from the table. A source that names a key twice is
@@ -309,23 +316,36 @@ class TableStore:
             staged = self.spark.read.schema(nullable(source.schema)).parquet(staged_path)
             refuse_repeats(name, staged, keys)
             if base is None:
-                self._commit(name, staged, layout, lambda base, _: ())
+                snap = self._commit(name, staged, layout, lambda base, _: ())
+                if self._located(snap.layout, keys):
+                    locator = KeyLocator(self, name, snap, keys)
+                    locator.build(locator.pairs(staged))
+                    locator.covers(snap.version)
             else:
                 self._merge_staged(name, base, staged, keys)
         finally:
             path = self._path(name, staged_path.rsplit("/", 1)[1])
             self._fs(path).delete(path, True)
 
+    def _located(self, layout: Layout, keys: Sequence[str]) -> bool:
+        return self.locate and bool(layout.partition_by) and not set(layout.partition_by) <= set(keys)
+
     def _merge_staged(self, name: str, base: Snapshot, staged: DataFrame, keys: Sequence[str]) -> None:
         layout = base.layout
-        new_keys = broadcast_if_small(staged.select(*keys), staged.count())  # counted from file footers
+        rows = staged.count()  # from file footers
+        new_keys = broadcast_if_small(staged.select(*keys), rows)
         if not layout.partition_by:
             old = self._read_parts(name, base, base.parts)
             merged = old.join(new_keys, list(keys), "left_anti").select(*base.schema.names)
             self._commit(name, merged.unionByName(staged), layout, lambda *_: (), base)
             return
         touched = partition_values(staged, layout)
-        if not set(layout.partition_by) <= set(keys):
+        locator = KeyLocator(self, name, base, keys) if self._located(layout, keys) else None
+        if locator:
+            locator.ready()
+            touched |= locator.find(staged, rows)
+            locator.add(locator.pairs(staged))
+        elif not set(layout.partition_by) <= set(keys):
             whole = self._read_parts(name, base, base.parts).select(*keys, *layout.partition_by)
             matching = whole.join(new_keys, list(keys), "left_semi")
             touched |= partition_values(matching, layout)
@@ -333,7 +353,9 @@ class TableStore:
         untouched = [p for p in base.parts if p[0] not in touched]
         old = self._read_parts(name, base, rewritten)
         merged = old.join(new_keys, list(keys), "left_anti").select(*base.schema.names)
-        self._commit(name, merged.unionByName(staged), layout, lambda *_: untouched, base)
+        snap = self._commit(name, merged.unionByName(staged), layout, lambda *_: untouched, base)
+        if locator:
+            locator.covers(snap.version)
 
     def expire(self, name: str, keep_versions: int = 2) -> None:
         """Delete lists older than the last `keep_versions` and the folders only they use."""
