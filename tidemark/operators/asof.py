@@ -11,6 +11,7 @@ from tidemark.operators.hotkeys import CHUNK, keys_above, lead_within_key, order
 from tidemark.session import durable
 
 HOT_VERSIONS = 10_000
+SPAN = 256  # elementary intervals in a segment
 
 
 def _interval_join(probe, versions, key, probe_ts, payload, how):
@@ -54,6 +55,63 @@ def _chunked_lookup(probe, versions, key, probe_ts, payload, how, chunk_rows):
     return probe.join(found, match, how).select(*probe.columns, *hits)
 
 
+def _segments(versions, chunk_rows, span):
+    """The time line of each key in segments (__key, __from, __to, __segment) of `span` elementary intervals.
+
+    All start and end points of a key's versions cut its time into elementary intervals, in each of which the set of open
+    versions is the same. The points are put in one order by range partitioning, so no key meets in one task;
+    every `span`-th point of a chunk begins a segment. Segments of a key are numbered from 1.
+    """
+    points = versions.select("__key", F.explode(F.array("__from", "__to")).alias("__at")).where("__at is not null").distinct()
+    line = ordered_chunks(points, "__key", ["__at"], chunk_rows, points.count())
+    inside = Window.partitionBy("__key", CHUNK).orderBy("__at")
+    starts = line.withColumn("__n", F.row_number().over(inside)).where(F.col("__n") % span == 1 if span > 1 else F.lit(True))
+    # One row in `span` points, or one per key and chunk, is left.
+    along = Window.partitionBy("__key").orderBy("__at")
+    numbered = starts.select(
+        "__key", F.col("__at").alias("__from"), F.lead("__at").over(along).alias("__next"), F.row_number().over(along).alias("__segment")
+    )
+    last = numbered.groupBy("__key").agg(F.max("__from").alias("__last"))
+    ends = versions.groupBy("__key").agg(F.max("__to").alias("__end")).join(last, "__key")
+    return durable(numbered.join(ends, "__key").select("__key", "__from", F.coalesce("__next", "__end").alias("__to"), "__segment").where("__from < __to"))
+
+
+def _segment_lookup(probe, versions, key, probe_ts, payload, how, chunk_rows, span):
+    """Lookup for keys with very many versions whose intervals overlap.
+
+    A version is listed under every segment it is open in, so what is open at the start of a segment is carried over the
+    cut; a probe row is compared with the versions of its own segment alone. A long dirty interval costs one row per segment
+    and no longer one comparison with every version of the key.
+    """
+    segments = _segments(versions, chunk_rows, span)
+    numbers = {"__key": F.col("__key"), "__from": F.col("__from"), "__to": F.col("__to"), "__segment": F.col("__segment")}
+    parts = segments.select(*(c.alias(n) for n, c in numbers.items()))
+
+    def segment_of(rows, own_key, at, name):
+        found = _chunked_lookup(rows, parts, own_key, at, ["__segment"], "left", chunk_rows)
+        return found.withColumnRenamed("__segment", name)
+
+    open_ = versions.toDF(*(f"v{c}" if c in ("__key", "__from", "__to") else c for c in versions.columns))
+    first = segment_of(open_, "v__key", "v__from", "__first")
+    both = segment_of(first, "v__key", "v__to", "__last")
+    # The end is not part of a version; the end of the key's last version is in no segment.
+    starts = parts.select(F.col("__key").alias("s__key"), F.col("__segment").alias("__last"), F.col("__from").alias("s__from"))
+    top = parts.groupBy(F.col("__key").alias("t__key")).agg(F.max("__segment").alias("__top"))
+    reach = both.join(starts, (F.col("v__key") == F.col("s__key")) & (both["__last"] == starts["__last"]), "left").drop(starts["__last"])
+    reach = reach.join(top, F.col("v__key") == F.col("t__key"))
+    until = F.when(F.col("__last").isNull(), F.col("__top")).when(F.col("s__from") == F.col("v__to"), F.col("__last") - 1).otherwise(F.col("__last"))
+    listed = reach.withColumn("v__segment", F.explode(F.sequence("__first", until)))
+    listed = listed.select("v__key", "v__segment", "v__from", "v__to", *payload)
+    placed = segment_of(probe, key, probe_ts, "__segment")
+    match = (
+        (F.col(key) == F.col("v__key"))
+        & (F.col("__segment") == F.col("v__segment"))
+        & (F.col(probe_ts) >= F.col("v__from"))
+        & (F.col(probe_ts) < F.col("v__to"))
+    )
+    return placed.join(listed, match, how).select(*probe.columns, *payload)
+
+
 def asof_join(
     probe: DataFrame,
     dim: DataFrame,
@@ -65,6 +123,7 @@ def asof_join(
     how: str = "left",
     hot_versions: int | None = HOT_VERSIONS,
     chunk_rows: int = 1_000_000,
+    span: int = SPAN,
 ) -> DataFrame:
     """Add dimension columns valid at `probe_ts`: `start <= t < end`, same key.
 
@@ -73,8 +132,8 @@ def asof_join(
     dimension when its measured size allows and splits hot probe keys
     otherwise. A key with more than `hot_versions` versions would compare each
     probe row with all of them, so such keys go through a sort-based lookup
-    instead, provided their intervals do not overlap; those that do overlap
-    stay on the interval join, whose result is always exact.
+    instead: one candidate per probe row where a key's intervals do not overlap, and one segment
+    of its time line where they do. The result is the same on every way.
     """
     if how not in ("left", "inner"):
         raise ValueError("asof_join supports left and inner")
@@ -100,24 +159,34 @@ def asof_join(
         "__next",
         chunk_rows=chunk_rows,
     )
-    overlapping = stepped.where(F.col("__next") < F.col("__to")).select("__key").distinct()
+    overlapping = durable(stepped.where(F.col("__next") < F.col("__to")).select("__key").distinct())
     sortable = durable(hot.join(overlapping, "__key", "left_anti"))
-    on_key = probe[key] == sortable["__key"]
+    on_hot = probe[key] == hot["__key"]
     plain = _interval_join(
-        probe.join(sortable, on_key, "left_anti"),
-        versions.join(sortable, "__key", "left_anti"),
+        probe.join(hot, on_hot, "left_anti"), versions.join(hot, "__key", "left_anti"), key, probe_ts, names, how
+    )
+    on_key = probe[key] == sortable["__key"]
+    sorted_part = _chunked_lookup(
+        probe.join(sortable, on_key, "left_semi"),
+        versions.join(sortable, "__key", "left_semi"),
         key,
         probe_ts,
         names,
         how,
+        chunk_rows,
     )
-    sorted_part = _chunked_lookup(
-        probe.join(sortable, on_key, "left_semi"),
-        versions.join(sortable, "__key", "left_semi"),
+    found = plain.unionByName(sorted_part)
+    if overlapping.isEmpty():
+        return found
+    on_dirty = probe[key] == overlapping["__key"]
+    dirty_part = _segment_lookup(
+        probe.join(overlapping, on_dirty, "left_semi"),
+        versions.join(overlapping, "__key", "left_semi"),
         key,
         probe_ts,
         names,
         how,
         chunk_rows,
+        span,
     )
-    return plain.unionByName(sorted_part)
+    return found.unionByName(dirty_part)
