@@ -65,7 +65,7 @@ class Warehouse:
         self.spark = spark
         self.zone = RawZone(spark, f"{root}/zone")
         self.raw = TableStore(spark, f"{root}/raw")
-        self.core = TableStore(spark, f"{root}/core")
+        self.core = TableStore(spark, f"{root}/core", locate=True)
         self.mart = TableStore(spark, f"{root}/mart")
         self.audit = TableStore(spark, f"{root}/audit")
 
@@ -152,6 +152,72 @@ def load_raw(wh: Warehouse, folder: str, table: str, batch_id: str, now: datetim
     return landed.count()
 
 
+TAKEN = "_taken"
+
+
+def raw_version_taken(wh: Warehouse, name: str) -> int | None:
+    """The version of its raw table that the stored dimension has taken up; unknown after any other write to it."""
+    if not wh.core.exists(name):
+        return None
+    prefix = f"v{wh.core.snapshot(name).version}-raw"
+    notes = [n for n in wh.core._children(name, TAKEN) if n.startswith(prefix)]
+    return max((int(n.removeprefix(prefix)) for n in notes), default=None)
+
+
+def note_raw_version(wh: Warehouse, name: str, raw_version: int) -> None:
+    old = wh.core._children(name, TAKEN)
+    note = f"v{wh.core.snapshot(name).version}-raw{raw_version}"
+    path = wh.core._path(name, TAKEN, note)
+    wh.core._fs(path).create(path, True).close()
+    for other in old:
+        if other != note:
+            path = wh.core._path(name, TAKEN, other)
+            wh.core._fs(path).delete(path, False)
+
+
+def history_changes(wh: Warehouse, name: str, table: str) -> DataFrame | None:
+    """Versions to upsert into a dimension, None if there is nothing new; the same as a comparison of all keys gives.
+
+    Only keys with a row in a raw partition that came or went since the dimension was last brought up to date are looked
+    at. The latest row of a key is at least as new as one that came, so if none went, partitions that
+    end before the oldest row that came are not opened. Open versions are looked for among the open ones alone.
+    """
+    build = getattr(core, name)
+    taken, now = raw_version_taken(wh, name), wh.raw.snapshot(table)
+    if taken is None or taken not in wh.raw.versions(table):
+        return build(wh.staging(table), wh.core.read_or_none(name))
+    before = wh.raw.snapshot(table, taken)
+    came = [p for p in now.parts if p not in before.parts]
+    went = [p for p in before.parts if p not in now.parts]
+    if not came and not went:
+        return None
+    key = list(entity(table).key)
+    touched = wh.raw._read_parts(table, now, came).select(*key, core.CHANGED)
+    since = None
+    if went:
+        touched = touched.unionByName(wh.raw._read_parts(table, before, went).select(*key, core.CHANGED))
+    else:
+        time = F.date_format(F.min(core.CHANGED), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        oldest = touched.agg(time.alias("t"), F.count("*").alias("n"), F.count(core.CHANGED).alias("timed")).first()
+        if not oldest["n"]:
+            return None
+        if oldest["n"] == oldest["timed"]:
+            since = datetime.fromisoformat(oldest["t"])
+    rows = wh.raw.read(table, tracked_from=since)
+    rows, current = only_matching([rows, core.open_versions(wh.core.read(name))], touched.select(*key))
+    return build(standardize(rows, table), current)
+
+
+def update_history(wh: Warehouse, name: str, table: str) -> None:
+    """Close and open the versions of changed keys; closed versions of earlier months are not rewritten."""
+    raw_version = wh.raw.snapshot(table).version
+    versions = history_changes(wh, name, table)
+    if versions is not None:
+        target = core.TARGETS[name]
+        wh.core.merge(name, core.by_closing_month(versions), target.key, target.layout)
+    note_raw_version(wh, name, raw_version)
+
+
 def build_core(wh: Warehouse) -> None:
     """Dimensions and plain facts side by side, then the facts that look them up; all read stored tables."""
 
@@ -172,12 +238,8 @@ def build_core(wh: Warehouse) -> None:
         dim_date=lambda: wh.core.overwrite("dim_date", core.dim_date(wh.spark)),
         dim_category=fact("dim_category", "categories"),
         dim_coupon=fact("dim_coupon", "coupons"),
-        dim_customer=lambda: merge(
-            "dim_customer", core.dim_customer(wh.staging("customers"), wh.core.read_or_none("dim_customer"))
-        ),
-        dim_product=lambda: merge(
-            "dim_product", core.dim_product(wh.staging("products"), wh.core.read_or_none("dim_product"))
-        ),
+        dim_customer=lambda: update_history(wh, "dim_customer", "customers"),
+        dim_product=lambda: update_history(wh, "dim_product", "products"),
         fact_payment=fact("fact_payment", "payments"),
         fact_shipment=fact("fact_shipment", "shipments"),
         fact_inventory_snapshot=fact("fact_inventory_snapshot", "inventory_snapshots"),

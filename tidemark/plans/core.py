@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.asof import HOT_VERSIONS, asof_join
 from tidemark.operators.hotkeys import HOT_ROWS
-from tidemark.operators.scd2 import scd2_incremental, scd2_initial
+from tidemark.operators.scd2 import OPEN_END, scd2_incremental, scd2_initial
 from tidemark.sources.store import Layout
 
 AUDIT_TAIL = ["created_at", "updated_at", "is_deleted", "extract_date", "loaded_at"]
@@ -33,6 +33,10 @@ class Target:
 # partitioned by a date, so that an upsert leaves the files of old dates alone.
 CHANGED = "updated_at"
 
+# Histories are partitioned by the month in which a version was closed, so that a run rewrites the open versions and
+# those closed in the months it closes some in.
+CLOSED = "closed_month"
+
 # Which source table feeds a model.
 FED_BY = {
     "dim_category": "categories",
@@ -50,8 +54,8 @@ FED_BY = {
 TARGETS = {
     "dim_category": Target(("category_id",), Layout(track=CHANGED)),
     "dim_coupon": Target(("coupon_id",), Layout(track=CHANGED)),
-    "dim_customer": Target(("customer_sk",)),
-    "dim_product": Target(("product_sk",)),
+    "dim_customer": Target(("customer_sk",), Layout((CLOSED,), ("customer_id",))),
+    "dim_product": Target(("product_sk",), Layout((CLOSED,), ("product_id",))),
     "fact_order": Target(("order_id",), Layout(("order_date",), ("customer_id", "order_status"), CHANGED)),
     "fact_order_item": Target(("order_item_id",), Layout(("order_date",), ("product_id", "category_id"), CHANGED)),
     "fact_payment": Target(("payment_id",), Layout(("payment_date",), ("payment_status", "payment_method"), CHANGED)),
@@ -130,6 +134,18 @@ def dim_product(
     return scd2_initial(stg, "product_id", PRODUCT_TRACKED, "product_sk", hot_rows=hot_rows if history else None)
 
 
+def by_closing_month(versions: DataFrame) -> DataFrame:
+    """Versions as they are stored; open ones are in the month of the open end."""
+    return versions.withColumn(CLOSED, F.to_date(F.trunc("effective_to", "month")))
+
+
+def open_versions(dim: DataFrame) -> DataFrame:
+    """The versions an incremental run may close; of a table partitioned by closing month no other files are read."""
+    if CLOSED not in dim.columns:
+        return dim
+    return dim.where(F.col(CLOSED) == F.lit(f"{OPEN_END[:7]}-01").cast("date"))
+
+
 def fact_order(stg_orders: DataFrame, customers: DataFrame, hot_versions: int | None = HOT_VERSIONS) -> DataFrame:
     """Orders with the customer version valid at order time."""
     joined = asof_join(

@@ -71,6 +71,21 @@ def _month_end(day: date | None) -> date | None:
     return None if day is None else (day.replace(day=28) + timedelta(days=4)).replace(day=1) - timedelta(days=1)
 
 
+# Tasks that items without an order are spread over; their products are told apart, so distinct counts add up.
+SPREAD = 1024
+
+
+def order_place(by_product: bool) -> Column:
+    """0 for a known order; for items without one a number by product, so that their NULL key is no hot partition."""
+    known = F.pmod("order_id", F.lit(1))  # not written as a literal, which the join would drop from its keys
+    if not by_product:
+        return known.cast("int").alias("__place")
+    return F.coalesce(known, 1 + F.pmod(F.hash("product_id"), F.lit(SPREAD))).cast("int").alias("__place")
+
+
+BY_ORDER = ["order_id", "__place"]
+
+
 def payments_per_order(payments: DataFrame) -> DataFrame:
     """Paid and refunded amount per order, so joins to orders do not fan out."""
     return (
@@ -95,10 +110,9 @@ def mart_daily_sales(
 ) -> DataFrame:
     """Sales per day and category; payments are shared out by each category's part of its order.
 
-    Items move once, by order: that partitioning serves the distinct products, the
+    Items are read once and move once, by order: that partitioning serves the distinct products, the
     category totals, the order total (a window) and both joins. Items without an
-    order have no order total, status or payment; they are summed apart, so their
-    shared NULL key is no hot partition.
+    order have no order total, status or payment; they move by product.
     """
     chosen = in_range(items.where(not_deleted()), "order_date", start, end, lookback_from)
     if is_bounded(start, end, lookback_from):
@@ -111,7 +125,7 @@ def mart_daily_sales(
         "category_id",
         F.when(nameless, F.lit(UNKNOWN_CATEGORY_ID).cast("long")).otherwise(F.col("category_id")),
     ).select(
-        "order_id", "order_date", "category_id", "product_id", "quantity", "item_amount", "discount_amount"
+        "order_id", order_place(True), "order_date", "category_id", "product_id", "quantity", "item_amount", "discount_amount"
     )
     sums = [
         F.count_distinct("product_id").alias("product_count"),
@@ -119,22 +133,20 @@ def mart_daily_sales(
         F.sum("item_amount").cast("decimal(22,2)").alias("category_amount"),
         F.sum("discount_amount").cast("decimal(22,2)").alias("item_discount_amount"),
     ]
-    in_orders = chosen.where(F.col("order_id").isNotNull()).repartition("order_id")
-    per_category = in_orders.groupBy("order_id", "order_date", "category_id").agg(*sums)
-    order_total = F.sum("category_amount").over(Window.partitionBy("order_id"))
+    per_category = chosen.repartition(*BY_ORDER).groupBy(*BY_ORDER, "order_date", "category_id").agg(*sums)
+    order_total = F.sum("category_amount").over(Window.partitionBy(*BY_ORDER))
     with_total = per_category.withColumn("order_amount", order_total.cast("decimal(17,2)"))
-    statuses = orders.where(not_deleted()).select("order_id", "order_status")
-    joined = with_total.join(statuses, "order_id", "left").join(payments_per_order(payments), "order_id", "left")
+    statuses = orders.where(not_deleted()).select("order_id", order_place(False), "order_status")
+    paid = payments_per_order(payments).select("*", order_place(False))
+    joined = with_total.join(statuses, BY_ORDER, "left").join(paid, BY_ORDER, "left")
+    in_order = F.col("order_id").isNotNull()
 
     def allocated(amount: str) -> Column:
-        return share_of(F.coalesce(F.col(amount), F.lit(0)), F.col("category_amount"), F.col("order_amount")).alias(amount)
+        share = share_of(F.coalesce(F.col(amount), F.lit(0)), F.col("category_amount"), F.col("order_amount"))
+        return F.when(in_order, share).alias(amount)
 
-    shared = joined.withColumn("in_order", F.lit(1)).withColumns(
-        {a: allocated(a) for a in ("paid_amount", "refunded_amount")}
-    )
-    apart = chosen.where(F.col("order_id").isNull()).groupBy("order_date", "category_id").agg(*sums)
     per_day = (
-        shared.unionByName(apart, allowMissingColumns=True)
+        joined.withColumns({"in_order": F.when(in_order, 1), **{a: allocated(a) for a in ("paid_amount", "refunded_amount")}})
         .groupBy("order_date", "category_id")
         .agg(
             F.count("in_order").alias("order_count"),
@@ -187,33 +199,26 @@ def mart_product_sales(
     """Sales per day and product version.
 
     `items` has one row per order_item_id (its merge key), so items are counted
-    without a distinct. They move once, by order, and attributes are joined after
+    without a distinct. They are read once and move once, by order, and attributes are joined after
     aggregation, by keys that are unique in their dimensions. Items without an
-    order are summed apart.
+    order move by product.
     """
     chosen = in_range(items.where(not_deleted()), "order_date", start, end, lookback_from).withColumn(
         "category_id", F.coalesce("category_id", F.lit(UNKNOWN_CATEGORY_ID).cast("long"))
     )
     if is_bounded(start, end, lookback_from):
         (orders,) = only_matching([orders], chosen.select("order_id"))
-    statuses = orders.where(not_deleted()).select("order_id", "order_status")
+    statuses = orders.where(not_deleted()).select("order_id", order_place(False), "order_status")
     grain = ["order_date", "product_id", "product_sk", "category_id"]
-    chosen = chosen.select("order_id", *grain, "order_item_id", "quantity", "item_amount", "discount_amount")
+    chosen = chosen.select("order_id", order_place(True), *grain, "order_item_id", "quantity", "item_amount", "discount_amount")
     sums = [
         F.count("order_item_id").alias("order_item_count"),
         F.sum("quantity").alias("quantity"),
         F.sum("item_amount").alias("item_amount"),
         F.sum("discount_amount").alias("discount_amount"),
     ]
-    per_order = (
-        chosen.where(F.col("order_id").isNotNull())
-        .repartition("order_id")
-        .groupBy("order_id", *grain)
-        .agg(*sums)
-        .join(statuses, "order_id", "left")
-    )
-    apart = chosen.where(F.col("order_id").isNull()).groupBy(*grain).agg(*sums)
-    per_day = per_order.unionByName(apart, allowMissingColumns=True).groupBy(*grain).agg(
+    per_order = chosen.repartition(*BY_ORDER).groupBy(*BY_ORDER, *grain).agg(*sums).join(statuses, BY_ORDER, "left")
+    per_day = per_order.groupBy(*grain).agg(
         F.count("order_id").alias("order_count"),
         F.sum("order_item_count").alias("order_item_count"),
         F.sum("quantity").alias("quantity_sold"),

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from datetime import date, datetime, timezone
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,7 +63,7 @@ def _broken(check: Check, tables: Tables) -> str | None:
     """Why a check cannot be planned (a missing table or column, a wrong type); None if it can. Starts no job."""
     try:
         check.failures(tables)
-    except Exception as problem:
+    except (AnalysisException, KeyError) as problem:
         return str(problem)
     return None
 

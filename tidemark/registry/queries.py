@@ -23,7 +23,7 @@ from tidemark.operators import (
     stamp_lineage,
 )
 from tidemark.plans import core, marts
-from tidemark.plans.batch import BatchConfig, Warehouse, extract_table, load_raw
+from tidemark.plans.batch import BatchConfig, Warehouse, all_or_raise, extract_table, load_raw, side_by_side
 from tidemark.plans.control import ControlState
 from tidemark.plans.staging import standardize
 from tidemark.quality import Check, checks
@@ -641,29 +641,22 @@ def dq_suite(spark, sf_dir):
         "dim_product": m.dim_product,
         "dim_category": m.dim_category,
     }
-    for name, df in built.items():
-        store.overwrite(name, df)
-    t = {name: store.read(name) for name in built}
+
+    def keep(tables: dict[str, DataFrame]) -> None:
+        jobs = {name: lambda name=name, df=df: store.overwrite(name, df) for name, df in tables.items()}
+        all_or_raise(side_by_side(spark, jobs))
+        t.update({name: store.read(name) for name in tables})
+
+    t: dict[str, DataFrame] = {}
+    keep(built)
     # Items of the largest quantity are made to point at an order that does not exist.
     items = core.fact_order_item(m.stg("order_items"), t["fact_order"], t["dim_product"]).withColumn(
         "order_id", F.when(F.col("quantity") == 50, -F.col("order_id") - 1).otherwise(F.col("order_id"))
     )
-    store.overwrite("fact_order_item", items)
-    t["fact_order_item"] = store.read("fact_order_item")
-    store.overwrite(
-        "mart_daily_sales",
-        marts.mart_daily_sales(
-            t["fact_order_item"], t["dim_category"], t["fact_order"], t["fact_payment"], as_of=AS_OF
-        ),
-    )
-    store.overwrite(
-        "mart_product_sales",
-        marts.mart_product_sales(
-            t["fact_order_item"], t["fact_order"], t["dim_product"], t["dim_category"], as_of=AS_OF
-        ),
-    )
-    t["mart_daily_sales"] = store.read("mart_daily_sales")
-    t["mart_product_sales"] = store.read("mart_product_sales")
+    keep({"fact_order_item": items})
+    sales = marts.mart_daily_sales(t["fact_order_item"], t["dim_category"], t["fact_order"], t["fact_payment"], as_of=AS_OF)
+    products = marts.mart_product_sales(t["fact_order_item"], t["fact_order"], t["dim_product"], t["dim_category"], as_of=AS_OF)
+    keep({"mart_daily_sales": sales, "mart_product_sales": products})
     results = run_checks(
         spark,
         final_suite(datetime(2026, 1, 1, 12)),
