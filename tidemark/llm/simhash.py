@@ -19,7 +19,11 @@ when the smallest id of a component is taken (null if there is no other).
 
 The corpus pipeline (keep_one) has another contract: documents whose sets of 5-word shingles have a Jaccard
 similarity of 0.8 or more are near copies. The grid meets few pairs so far apart, so candidates come from MinHash
-bands there; SimHash words drop pairs that are clearly different, and every link is verified on the two texts.
+bands there. In a band each document is compared with its neighbours in the order of the segment counts and with the first one;
+of bands whose documents are then not all connected, documents meet that share one of their rarest shingles: of two sets
+with that similarity the rarest fifth of each, and one more, have a shingle in common, whatever the counts. A
+passage that all documents of a band share is among their rarest in none, so it makes no pairs. Every link is verified on the sets,
+and nothing but the sets refuses one.
 """
 
 from __future__ import annotations
@@ -29,7 +33,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import id_and_text, partitions, stored, utf8_list
@@ -255,9 +259,8 @@ def near_components(
     return prints.join(labelled, names).select("doc_id", *names, "component_id")
 
 
-# For the corpus. Bands of five minima: a pair at similarity 0.8 shares one of 20 with probability 0.9996. A similarity
-# of 0.8 gives 29 differing bits of 192 on average with a deviation of 5; the bound only spares comparisons of texts.
-CORPUS = {"words": 5, "turns": 3, "bits": 64}
+# For the corpus. Bands of five minima: a pair at similarity 0.8 shares one of 20 with probability 0.9996.
+WORDS = 5
 BANDS, DEPTH = 20, 5
 SIMILAR = (4, 5)  # shared shingles of all shingles of a pair, at least
 HUB = 64  # pairs of a node that are verified together
@@ -289,18 +292,18 @@ def bands(shingles: np.ndarray) -> np.ndarray:
     return mixed.view(np.int64)
 
 
-def sketches(docs: DataFrame, words: int, turns: int) -> DataFrame:
-    """(doc_id, s0, s1, w0, ..., bands) per row of (doc_id, text); s0 and s1 are a digest of the shingle set."""
-    names = ["s0", "s1", *[f"w{k}" for k in range(turns)]]
+def sketches(docs: DataFrame, words: int) -> DataFrame:
+    """(doc_id, s0, s1, place, bands) per row of (doc_id, text): s0 and s1 are a digest of the shingle set, place the segment counts of its SimHash."""
+    names = ["s0", "s1", "place"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, found = [], []
             for data in utf8_list(batch.column(1)):
-                blocks = list(shingle_hashes(data, words))
-                own = np.unique(np.concatenate(blocks)) if blocks else np.empty(0, dtype=np.uint64)
+                own = shingle_set(data, words)
                 digest = np.frombuffer(xxhash.xxh3_128_digest(own.tobytes()), dtype=np.int64).tolist()
-                rows.append([*digest, *majority(blocks, turns)])
+                word = np.array(majority([own], 1), dtype=np.int64).view(np.uint64)
+                rows.append([*digest, int(_counts(word).view(np.int64)[0])])
                 found.append(bands(own))
             numbers = np.array(rows, dtype=np.int64).reshape(-1, len(names))
             columns = [pa.array(numbers[:, k]) for k in range(len(names))] + [pa.array(found, pa.list_(pa.int64()))]
@@ -328,45 +331,48 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield kept
 
 
-def _pairs(batches: Iterator[pa.RecordBatch], turns: int, bits: int, rest: bool) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b) of a band within `bits` bits; rows (band, node, root, words) come sorted by band and node.
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b) of a node with the first of its band and with the one before it; rows (band, node) come sorted by band."""
+    band, first, before = None, 0, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        bands_, nodes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        fresh = np.concatenate([[band is None or bands_[0] != band], bands_[1:] != bands_[:-1]])
+        begin = np.maximum.accumulate(np.where(fresh, np.arange(len(nodes)), -1))
+        firsts = np.where(begin >= 0, nodes[np.maximum(begin, 0)], first)
+        previous = np.concatenate([[before], nodes[:-1]])
+        a = np.concatenate([nodes[~fresh], nodes[~fresh]])
+        b = np.concatenate([firsts[~fresh], previous[~fresh]])
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+        band, first, before = bands_[-1], firsts[-1], nodes[-1]
+
 
-    First each node with the smallest and with the one before it; then (`rest`) all other pairs that are not connected yet.
+def _sharing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b) of different roots that share a shingle and whose sizes allow the similarity; rows (shingle, node, root, size) come sorted by shingle.
+
+    A row is compared with those before it, in blocks, so of a shingle only the rows are in memory and not the pairs.
     """
     width = 1 << 20
-
-    def out(rows: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
-        apart = sum(np.bitwise_count((w[left] ^ w[right]).view(np.uint64)).astype(np.int16) for w in rows[3:])
-        hit = (apart <= bits) & (rows[2][left] != rows[2][right])
-        return pa.RecordBatch.from_arrays([pa.array(rows[1][right[hit]]), pa.array(rows[1][left[hit]])], ["a", "b"])
+    kept: list[np.ndarray] | None = None
 
     def complete(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        """Pairs of rows that hold whole bands."""
-        size = len(rows[0])
-        new = np.concatenate([[True], rows[0][1:] != rows[0][:-1]])
-        begins = np.flatnonzero(new)
-        lengths = np.diff(np.concatenate([begins, [size]]))
-        begin = np.repeat(begins, lengths)
-        at = np.arange(size)
-        if not rest:
-            yield out(rows, begin[~new], at[~new])
-            later = at - begin > 1
-            yield out(rows, at[later] - 1, at[later])
-            return
-        # Each row with the rows before it, without the first of the band and the neighbour.
-        many = np.maximum(at - begin - 2, 0)
-        until = np.cumsum(many)
+        shingle, node, root, size = rows
+        at = np.arange(len(node))
+        begin = np.maximum.accumulate(np.where(np.concatenate([[True], shingle[1:] != shingle[:-1]]), at, 0))
+        until = np.cumsum(at - begin)
         done = 0
-        while done < size:
+        while done < len(node):
             base = until[done - 1] if done else 0
             stop = max(int(np.searchsorted(until, base + width, side="right")), done + 1)
-            n = many[done:stop]
+            n = (at - begin)[done:stop]
             right = np.repeat(at[done:stop], n)
-            left = np.arange(len(right)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(begin[done:stop] + 1, n)
-            yield out(rows, left, right)
+            left = np.arange(len(right)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(begin[done:stop], n)
+            less, more = np.minimum(size[left], size[right]), np.maximum(size[left], size[right])
+            good = (root[left] != root[right]) & (less * SIMILAR[1] >= more * SIMILAR[0])
+            yield pa.RecordBatch.from_arrays([pa.array(node[right[good]]), pa.array(node[left[good]])], ["a", "b"])
             done = stop
 
-    kept: list[np.ndarray] | None = None
     for batch in batches:
         rows = [c.to_numpy() for c in batch.columns]
         if kept is not None:
@@ -381,59 +387,83 @@ def _pairs(batches: Iterator[pa.RecordBatch], turns: int, bits: int, rest: bool)
         yield from complete(kept)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, words: int, purpose: str) -> DataFrame:
-    """The pairs whose texts are similar. A text that many pairs name is dealt out in copies, one per HUB pairs."""
+def _verified(pairs: DataFrame, sets: DataFrame, purpose: str) -> DataFrame:
+    """The pairs whose sets (node, shingles) are similar. A set that many pairs name is dealt out in copies, one per HUB pairs."""
+    pairs = pairs.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     pairs = stored(pairs.distinct(), f"{purpose}-pairs")
-    hubs = pairs.groupBy("b").agg(F.ceil(F.count("*") / HUB).cast("int").alias("chunks"))
-    hubs = hubs.join(texts, hubs.b == texts.node).select("b", "chunks", F.col("text").alias("other"))
-    hubs = hubs.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     chunks = pairs.groupBy("b").agg(F.ceil(F.count("*") / HUB).cast("int").alias("chunks"))
+    hubs = chunks.join(sets, chunks.b == sets.node).select("b", "chunks", F.col("shingles").alias("other"))
+    hubs = hubs.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     dealt = pairs.join(chunks, "b").select("a", "b", F.pmod(F.hash("a"), F.col("chunks")).alias("chunk"))
-    own = dealt.join(texts, dealt.a == texts.node).select("a", "b", "chunk", "text")
-    both = own.join(hubs, ["b", "chunk"]).select("a", "b", "text", "other")
+    own = dealt.join(sets, dealt.a == sets.node).select("a", "b", "chunk", "shingles")
+    both = own.join(hubs, ["b", "chunk"]).select("a", "b", "shingles", "other")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hub, held = None, None
         for batch in batches:
-            a, b = (batch.column(k).to_numpy() for k in (0, 1))
-            own, other = (column.cast(pa.binary()) for column in (batch.column(2), batch.column(3)))
-            good = np.zeros(len(a), dtype=bool)
-            for k in range(len(a)):
-                if held is None or hub != b[k]:
-                    hub, held = b[k], shingle_set(other[k].as_py(), words)
-                good[k] = similar(shingle_set(own[k].as_py(), words), held)
-            yield pa.RecordBatch.from_arrays([pa.array(a[good]), pa.array(b[good])], ["a", "b"])
+            own, other = ([np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in batch.column(k)] for k in (2, 3))
+            good = pa.array([similar(x, y) for x, y in zip(own, other)], pa.bool_())
+            yield batch.select(["a", "b"]).filter(good)
 
     return stored(both.mapInArrow(run, "a long, b long"), f"{purpose}-links")
 
 
-def similar_components(docs: DataFrame, words: int, turns: int, bits: int) -> DataFrame:
-    """(doc_id, component_id) per row of (doc_id, text): the smallest id reachable over similar pairs that met in a band."""
+def _rarest(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(shingle, node, root, size): of every node (node, root) the rarest fifth of its shingles and one more, if another node has them.
+
+    The counts are over these nodes; any common order would do, this one lets few nodes meet.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, root, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                own = np.frombuffer(data.as_buffer(), dtype=np.int64)
+                for at in range(0, len(own), STEP):
+                    part = own[at : at + STEP]
+                    fixed = [pa.array(np.full(len(part), x)) for x in (node, root, len(own))]
+                    yield pa.RecordBatch.from_arrays([pa.array(part), *fixed], ["shingle", "node", "root", "size"])
+
+    chosen = nodes.join(sets, "node").select("node", "root", "shingles")
+    rows = stored(chosen.mapInArrow(run, "shingle long, node long, root long, size long"), "crowded-shingles")
+    several = rows.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
+    counted = rows.join(several, "shingle", "left").withColumn("n", F.coalesce("n", F.lit(1)))
+    rank = F.row_number().over(Window.partitionBy("node").orderBy("n", "shingle"))
+    few = counted.withColumn("rank", rank).where(F.col("rank") <= F.col("size") - F.ceil(F.col("size") * SIMILAR[0] / SIMILAR[1]) + 1)
+    return few.where("n > 1").select("shingle", "node", "root", "size")
+
+
+def similar_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """(doc_id, component_id) per row of (doc_id, text): the smallest id reachable over similar pairs that share a band."""
     spark = docs.sparkSession
-    names = [f"w{k}" for k in range(turns)]
-    prints = stored(sketches(docs, words, turns), "sketches")
-    # The words differ between equal sets with other counts; any of them will do for the bound.
-    classes = prints.groupBy("s0", "s1").agg(F.min("doc_id").alias("first"), F.min(F.struct(*names, "bands")).alias("one"))
-    classes = classes.select("s0", "s1", "first", *(f"one.{n}" for n in names), "one.bands", F.monotonically_increasing_id().alias("node"))
+    prints = stored(sketches(docs, words), "sketches")
+    classes = prints.groupBy("s0", "s1").agg(F.min("doc_id").alias("first"), F.min(F.struct("place", "bands")).alias("one"))
+    classes = classes.select("s0", "s1", "first", "one.place", "one.bands", F.monotonically_increasing_id().alias("node"))
     classes = stored(classes, "shingle-classes")
-    longs = "band long, node long, " + ", ".join(f"{n} long" for n in names)
-    rows = classes.select(F.explode("bands").alias("band"), "node", *names)
-    rows = rows.repartition(partitions(spark), "band").sortWithinPartitions("band", "node")
-    met = stored(rows.mapInArrow(_met, longs), "bands-met")
-
-    def candidates(rooted: DataFrame, rest: bool) -> DataFrame:
-        dealt = rooted.select("band", "node", "root", *names).repartition(partitions(spark), "band").sortWithinPartitions("band", "node")
-        return dealt.mapInArrow(lambda it: _pairs(it, turns, bits, rest), "a long, b long")
+    rows = classes.select(F.explode("bands").alias("band"), "node", "place")
+    rows = rows.repartition(partitions(spark), "band").sortWithinPartitions("band", "place", "node")
+    met = stored(rows.mapInArrow(_met, "band long, node long, place long"), "bands-met")
 
     wanted = met.select("node").distinct().join(classes.select("node", "first"), "node")
     found = docs.select(F.col("doc_id").alias("name"), "text").join(
         wanted, F.col("name.id").eqNullSafe(F.col("first.id")) & (F.col("name.key") == F.col("first.key"))
     )
-    texts = stored(found.select("node", "text").dropDuplicates(["node"]), "met-texts")
-    links = _verified(candidates(met.withColumn("root", F.col("node")), False), texts, words, "star")
-    roots = component_roots(links)
-    rooted = met.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    more = _verified(candidates(rooted, True), texts, words, "rest")
+
+    def as_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingle_set(x, words).tobytes() for x in utf8_list(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["node", "shingles"])
+
+    once = found.select("node", "text").dropDuplicates(["node"])
+    sets = stored(once.mapInArrow(as_sets, "node long, shingles binary"), "met-sets")
+    dealt = met.repartition(partitions(spark), "band").sortWithinPartitions("band", "place", "node")
+    links = _verified(dealt.select("band", "node").mapInArrow(_neighbours, "a long, b long"), sets, "star")
+    roots = stored(component_roots(links), "star-roots")
+    rooted = met.join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
+    # In a band of two, or of one component, nothing is left to compare.
+    open_bands = rooted.groupBy("band").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+    open_bands = open_bands.where("n > 2 and low <> high").select("band")
+    crowded = stored(rooted.join(open_bands, "band").select("node", "root").distinct(), "crowded-nodes")
+    sharing = _rarest(sets, crowded).repartition(partitions(spark), "shingle").sortWithinPartitions("shingle")
+    more = _verified(sharing.mapInArrow(_sharing, "a long, b long"), sets, "rest")
     roots = component_roots(links.union(more))
     rooted = stored(classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
     smallest = stored(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "component-ids")
@@ -441,14 +471,14 @@ def similar_components(docs: DataFrame, words: int, turns: int, bits: int) -> Da
     return prints.join(labelled, ["s0", "s1"]).select("doc_id", "component_id")
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
     """The rows of `docs`, of each component only the one with the smallest id (null first), then the smallest text hash.
 
     Rows that repeat both id and text are one document here: they stay or go together.
     """
     key = F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
     named = docs.select(F.struct(F.col(f"`{doc_id}`").alias("id"), key.alias("key")).alias("name"), F.col(f"`{text}`").alias("text"))
-    found = similar_components(id_and_text(named, "name", "text"), **{**CORPUS, **options})
+    found = similar_components(id_and_text(named, "name", "text"), words)
     gone = found.where("doc_id <> component_id").select(F.col("doc_id.id").alias("__id"), F.col("doc_id.key").alias("__key"))
     gone = stored(gone.distinct(), "near-copies")
     same = F.col(f"`{doc_id}`").eqNullSafe(F.col("__id")) & (key == F.col("__key"))
