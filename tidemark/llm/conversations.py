@@ -207,7 +207,9 @@ def solved(codes: DataFrame, costs: Costs = Costs(), block: int = BLOCK) -> Data
     """(conv, the counts, cost, audit, parts) per conversation; parts have each row's action in the order of the rows."""
     parts = codes.groupBy("conv", "part").agg(F.array_sort(F.collect_list(F.struct("pos", "code"))).alias("rows"))
     parts = parts.select("conv", F.struct(F.col("rows")[0]["pos"].alias("start"), F.array_join(F.col("rows")["code"], "").alias("codes")).alias("own"))
-    whole = parts.groupBy("conv").agg(F.array_sort(F.collect_list("own")).alias("own"))
+    # Little data but much work: dealt out by a fixed number, as adaptive execution would merge it into one task.
+    dealt = parts.repartition(partitions(codes.sparkSession), "conv")
+    whole = dealt.groupBy("conv").agg(F.array_sort(F.collect_list("own")).alias("own"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
