@@ -10,10 +10,10 @@ from datetime import date, datetime, timedelta, timezone
 from typing import Protocol
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import loaded_at
+from tidemark.functions import loaded_at, parse_utc
 from tidemark.operators.incremental import stamp_lineage
 from tidemark.operators.reduce import only_matching
 from tidemark.plans import core, marts
@@ -35,7 +35,10 @@ class Source(Protocol):
 
 @dataclass(frozen=True)
 class BatchConfig:
-    """One run. `start_watermark` re-reads from an earlier time without touching the stored one."""
+    """One run. `start_watermark` re-reads from an earlier time without touching the stored one.
+
+    Watermarks may be given as ISO-8601 text with or without an offset; they are UTC from then on.
+    """
 
     root: str
     end_watermark: datetime
@@ -50,6 +53,11 @@ class BatchConfig:
     pipeline_name: str = "daily_batch"
     now: datetime | None = None  # fixed clock for repeatable runs
 
+    def __post_init__(self) -> None:
+        for name in ("end_watermark", "start_watermark"):
+            if isinstance(getattr(self, name), str):
+                object.__setattr__(self, name, parse_utc(getattr(self, name)))
+
 
 @dataclass(frozen=True)
 class BatchResult:
@@ -139,17 +147,20 @@ def all_or_raise(results: Mapping[str, object]) -> None:
 def extract_table(
     wh: Warehouse, source: Source, table: str, lower: datetime, upper: datetime, cfg: BatchConfig, now: datetime
 ) -> tuple[str, int]:
-    """Land one window and count it; the count reads file footers only."""
+    """Land one window; its rows are counted while they are written."""
     df = stamp_lineage(source.window(wh.spark, table, lower, upper), cfg.extract_date, now, table, cfg.batch_id)
-    folder = wh.zone.write(table, df, cfg.extract_date.isoformat(), cfg.batch_id)
-    return folder, wh.zone.read(folder).count()
+    counted = Observation()
+    seen = df.observe(counted, F.count(F.lit(1)).alias("rows"))
+    folder = wh.zone.write(table, seen, cfg.extract_date.isoformat(), cfg.batch_id)
+    return folder, counted.get["rows"]
 
 
 def load_raw(wh: Warehouse, folder: str, table: str, batch_id: str, now: datetime) -> int:
     """Replace the batch in the raw table; the load time is set in the same write."""
-    landed = wh.zone.read(folder)
+    counted = Observation()
+    landed = wh.zone.read(folder).observe(counted, F.count(F.lit(1)).alias("rows"))
     wh.raw.replace_batch(table, landed.withColumn("loaded_at", loaded_at(now)), batch_id, RAW_LAYOUT)
-    return landed.count()
+    return counted.get["rows"]
 
 
 TAKEN = "_taken"

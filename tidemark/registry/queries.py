@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -318,6 +318,33 @@ def asof_join_split_keys(spark, sf_dir):
     )
 
 
+def _shipping_versions(spark, sf_dir) -> DataFrame:
+    """An item is open at its supplier from the order to the shipment: intervals of a supplier overlap."""
+    orders = load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
+    lines = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate")
+    return lines.join(orders, "l_orderkey").select(
+        "l_suppkey",
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("open_item"),
+        F.least("o_orderdate", "l_shipdate").alias("effective_from"),
+        F.greatest("o_orderdate", "l_shipdate").alias("effective_to"),
+    )
+
+
+@query
+def asof_join_overlapping(spark, sf_dir):
+    """The items a supplier had open in the first instant of every month; every supplier goes through segments of its time line."""
+    versions = _shipping_versions(spark, sf_dir)
+
+    starts = load(spark, sf_dir, "orders").select(F.date_trunc("month", "o_orderdate").alias("month")).distinct()
+    keys = load(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"))
+    shipped = versions.select("l_suppkey", F.date_trunc("month", "effective_to").alias("month")).distinct()
+    probes = shipped.join(starts, "month", "left_semi").join(keys, "l_suppkey", "left_semi")
+    found = asof_join(
+        probes, versions, "l_suppkey", "month", {"open_item": "open_item"}, hot_versions=20, chunk_rows=20_000, span=16
+    )
+    return found.groupBy("l_suppkey", "month").agg(F.count("open_item").alias("open_items"), F.sum("open_item").alias("item_sum"))
+
+
 @query
 def fact_payment(spark, sf_dir):
     return Mapped(spark, sf_dir).fact_payment
@@ -376,6 +403,53 @@ def merge_moved_partition(spark, sf_dir):
     return store.read("orders")
 
 
+@query
+def merge_located(spark, sf_dir):
+    """Old copies found by the key locator: all orders, then finished ones move two years on, then every seventh order comes back."""
+    rows = _order_rows(spark, sf_dir)
+    store = TableStore(spark, shared_folder(spark, "located"), locate=True)
+    layout = Layout(("order_month",), ("order_id",))
+    store.merge("orders", rows, ["order_id"], layout)
+    moved = rows.where("order_status = 'F'").withColumn("order_month", F.add_months("order_month", 24))
+    store.merge("orders", moved, ["order_id"])
+    store.merge("orders", rows.where("order_id % 7 = 0").withColumn("total_amount", F.lit(7).cast("decimal(12,2)")), ["order_id"])
+    return store.read("orders")
+
+
+@query
+def extract_order(spark, sf_dir):
+    """Rows of the landed files in file order: how many come after a row of a later change time or, at the same time, a greater key."""
+    source = Mapped(spark, sf_dir)
+    wh = Warehouse(spark, shared_folder(spark, "landed"))
+    cfg = BatchConfig("", datetime(2003, 1, 1), date(2026, 1, 1), "b1")
+    folder, rows = extract_table(wh, source, "orders", datetime(1970, 1, 1), cfg.end_watermark, cfg, datetime(2026, 1, 1))
+    landed = spark.read.parquet(folder).select("_metadata.file_path", "_metadata.row_index", "updated_at", "order_id")
+    place = F.struct("updated_at", "order_id")
+    before = F.lag(place).over(Window.partitionBy("file_path").orderBy("row_index"))
+    return landed.select((before > place).alias("late")).agg(
+        F.count("*").alias("landed_rows"), F.count_if("late").alias("out_of_order"), F.lit(rows).cast("long").alias("counted_rows")
+    )
+
+
+@query
+def audit_append(spark, sf_dir):
+    """Load results of two batches; the second is loaded twice, and every load stays on record."""
+    source = Mapped(spark, sf_dir)
+    wh = Warehouse(spark, shared_folder(spark, "audit"))
+    state = ControlState(wh.audit)
+    now = datetime(2026, 1, 1)
+    start, middle, end = datetime(1970, 1, 1), datetime(1998, 1, 1), datetime(2003, 1, 1)
+    for batch_id, lower, upper in (("b1", start, middle), ("b2", middle, end), ("b2", middle, end)):
+        found = []
+        for table in ("orders", "order_items"):
+            cfg = BatchConfig("", upper, date(2026, 1, 1), batch_id)
+            folder, _ = extract_table(wh, source, table, lower, upper, cfg, now)
+            rows = load_raw(wh, folder, table, batch_id, now)
+            found.append({"batch_id": batch_id, "source_table": table, "target_table": f"raw.{table}", "status": "raw_load_success", "row_count": rows, "started_at": now, "finished_at": now})
+        state.audit_load(found)
+    return wh.audit.read("raw_load_runs").select("batch_id", "source_table", "target_table", "status", "row_count", "started_at", "finished_at")
+
+
 @query
 def raw_batch_reload(spark, sf_dir):
     """Two batches; the first is loaded again under another extract date and with fewer rows."""
@@ -504,6 +578,14 @@ def mart_monthly_retention_range(spark, sf_dir):
     return mart.drop("mart_loaded_at")
 
 
+@query
+def mart_monthly_retention_lookback(spark, sf_dir):
+    """The look-back branch of an incremental run: cohorts of the twelve months before the given day."""
+    m = Mapped(spark, sf_dir)
+    since = date(2001, 8, 1).replace(year=2001 - marts.RETENTION_LOOKBACK_MONTHS // 12)
+    return marts.mart_monthly_retention(m.fact_order, _ltv(m), lookback_from=since, as_of=AS_OF).drop("mart_loaded_at")
+
+
 @query
 def mart_monthly_retention(spark, sf_dir):
     m = Mapped(spark, sf_dir)

@@ -35,6 +35,7 @@ class SourceDatabase:
     url: str
     properties: dict[str, str] = field(default_factory=dict)
     slices: int = 16
+    fetch_rows: int = 10_000  # rows a driver brings over at a time; some would bring all, others one by one
 
     def predicates(self, table: str, lower: datetime, upper: datetime) -> list[str]:
         if lower >= upper:
@@ -45,7 +46,8 @@ class SourceDatabase:
 
     def window(self, spark: SparkSession, table: str, lower: datetime, upper: datetime) -> DataFrame:
         spec = entity(table)
+        properties = {"fetchsize": str(self.fetch_rows), **self.properties}
         df = spark.read.jdbc(
-            self.url, f'"{spec.name}"', predicates=self.predicates(table, lower, upper), properties=self.properties
+            self.url, f'"{spec.name}"', predicates=self.predicates(table, lower, upper), properties=properties
         )
         return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.source_schema])
