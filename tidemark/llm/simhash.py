@@ -19,10 +19,11 @@ when the smallest id of a component is taken (null if there is no other).
 
 The corpus pipeline (keep_one) has another contract: documents whose sets of 5-word shingles have a Jaccard
 similarity of 0.8 or more are near copies. The grid meets few pairs so far apart, so candidates come from MinHash
-bands there. In a band each document is compared with its neighbours in the order of the segment counts and with the first one;
-of bands whose documents are then not all connected, documents meet that share one of their rarest shingles: of two sets
+bands there. In a band each document is compared with its neighbour in the order of the segment counts and with the most
+central one, whose bands are the fullest: the original of many copies, mostly, which links them all. Of bands whose documents are then not all connected, documents meet that share one of their rarest shingles: of two sets
 with that similarity the rarest fifth of each, and one more, have a shingle in common, whatever the counts. A
-passage that all documents of a band share is among their rarest in none, so it makes no pairs. Every link is verified on the sets,
+passage that all documents of a band share is among their rarest in none, so it makes no pairs, and documents that share
+no band do not meet. Every link is verified on the sets,
 and nothing but the sets refuses one.
 """
 
@@ -332,32 +333,44 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b) of a node with the first of its band and with the one before it; rows (band, node) come sorted by band."""
-    band, first, before = None, 0, 0
+    """Pairs (a, b) of a node with the one before it in its band; rows (band, node) come sorted by band."""
+    band, before = None, 0
     for batch in batches:
         if not batch.num_rows:
             continue
         bands_, nodes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         fresh = np.concatenate([[band is None or bands_[0] != band], bands_[1:] != bands_[:-1]])
-        begin = np.maximum.accumulate(np.where(fresh, np.arange(len(nodes)), -1))
-        firsts = np.where(begin >= 0, nodes[np.maximum(begin, 0)], first)
         previous = np.concatenate([[before], nodes[:-1]])
-        a = np.concatenate([nodes[~fresh], nodes[~fresh]])
-        b = np.concatenate([firsts[~fresh], previous[~fresh]])
-        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-        band, first, before = bands_[-1], firsts[-1], nodes[-1]
+        yield pa.RecordBatch.from_arrays([pa.array(nodes[~fresh]), pa.array(previous[~fresh])], ["a", "b"])
+        band, before = bands_[-1], nodes[-1]
+
+
+def _centres(met: DataFrame) -> DataFrame:
+    """Pairs (a, b) of every node with the most central one of each of its bands: the one whose own bands hold most rows."""
+    full = met.join(met.groupBy("band").agg(F.count("*").alias("n")), "band")
+    weights = full.groupBy("node").agg(F.sum("n").alias("weight"))
+    weighed = met.select("band", "node").join(weights, "node")
+    centres = weighed.groupBy("band").agg(F.max(F.struct("weight", "node")).alias("best"))
+    return met.select("band", F.col("node").alias("a")).join(centres, "band").select("a", F.col("best.node").alias("b")).where("a <> b").distinct()
+
+
+HEAD = 6  # first rare shingles of a node that its rows carry, to tell pairs that met before
 
 
 def _sharing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b) of different roots that share a shingle and whose sizes allow the similarity; rows (shingle, node, root, size) come sorted by shingle.
+    """Pairs (a, b) of different roots that share a shingle and a band and whose sizes and ranks allow the similarity.
 
-    A row is compared with those before it, in blocks, so of a shingle only the rows are in memory and not the pairs.
+    Rows (shingle, node, root, size, rank, bands, head) come sorted by shingle; a row is compared with those before it, in
+    blocks, so the rows of a shingle are in memory and not the pairs. Where the heads show that a pair meets at an earlier
+    shingle, it is left to that one.
     """
-    width = 1 << 20
-    kept: list[np.ndarray] | None = None
+    width = 1 << 17
+    kept: pa.Table | None = None
 
-    def complete(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        shingle, node, root, size = rows
+    def complete(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        shingle, node, root, size, rank = (rows.column(k).to_numpy() for k in range(5))
+        bands_, head = (rows.column(k).combine_chunks() for k in (5, 6))
+        bands_, head = (x.flatten().to_numpy().reshape(len(node), -1) for x in (bands_, head))
         at = np.arange(len(node))
         begin = np.maximum.accumulate(np.where(np.concatenate([[True], shingle[1:] != shingle[:-1]]), at, 0))
         until = np.cumsum(at - begin)
@@ -370,20 +383,32 @@ def _sharing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             left = np.arange(len(right)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(begin[done:stop], n)
             less, more = np.minimum(size[left], size[right]), np.maximum(size[left], size[right])
             good = (root[left] != root[right]) & (less * SIMILAR[1] >= more * SIMILAR[0])
-            yield pa.RecordBatch.from_arrays([pa.array(node[right[good]]), pa.array(node[left[good]])], ["a", "b"])
+            # At the first shingle a pair shares, so many can follow in both; the similarity needs a share of both sizes.
+            room = 1 + np.minimum(size[left] - rank[left], size[right] - rank[right])
+            good &= sum(SIMILAR) * room >= SIMILAR[0] * (size[left] + size[right])
+            left, right = left[good], right[good]
+            good = (bands_[left] == bands_[right]).any(axis=1)
+            left, right = left[good], right[good]
+            same = np.zeros(len(left), dtype=bool)
+            for i in range(HEAD):
+                for j in range(HEAD):
+                    same |= (head[left, i] == head[right, j]) & (rank[left] > i + 1) & (rank[right] > j + 1) & (head[left, i] != 0)
+            left, right = left[~same], right[~same]
+            yield pa.RecordBatch.from_arrays([pa.array(node[right]), pa.array(node[left])], ["a", "b"])
             done = stop
 
     for batch in batches:
-        rows = [c.to_numpy() for c in batch.columns]
+        rows = pa.Table.from_batches([batch])
         if kept is not None:
-            rows = [np.concatenate(c) for c in zip(kept, rows)]
-        if not len(rows[0]):
+            rows = pa.concat_tables([kept, rows])
+        if not rows.num_rows:
             continue
-        last = int(np.searchsorted(rows[0], rows[0][-1]))
+        own = rows.column(0).to_numpy()
+        last = int(np.searchsorted(own, own[-1]))
         if last:
-            yield from complete([c[:last] for c in rows])
-        kept = [c[last:] for c in rows]
-    if kept is not None:
+            yield from complete(rows.slice(0, last))
+        kept = rows.slice(last)
+    if kept is not None and kept.num_rows:
         yield from complete(kept)
 
 
@@ -407,8 +432,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, purpose: str) -> DataFrame:
     return stored(both.mapInArrow(run, "a long, b long"), f"{purpose}-links")
 
 
-def _rarest(sets: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(shingle, node, root, size): of every node (node, root) the rarest fifth of its shingles and one more, if another node has them.
+def _rarest(sets: DataFrame, nodes: DataFrame, bands_of: DataFrame) -> DataFrame:
+    """(shingle, node, root, size, rank, bands, head): of every node (node, root) the rarest fifth of its shingles and one more, if another node has them.
 
     The counts are over these nodes; any common order would do, this one lets few nodes meet.
     """
@@ -428,7 +453,13 @@ def _rarest(sets: DataFrame, nodes: DataFrame) -> DataFrame:
     counted = rows.join(several, "shingle", "left").withColumn("n", F.coalesce("n", F.lit(1)))
     rank = F.row_number().over(Window.partitionBy("node").orderBy("n", "shingle"))
     few = counted.withColumn("rank", rank).where(F.col("rank") <= F.col("size") - F.ceil(F.col("size") * SIMILAR[0] / SIMILAR[1]) + 1)
-    return few.where("n > 1").select("shingle", "node", "root", "size")
+    shared = stored(few.where("n > 1").select("shingle", "node", "root", "size", "rank"), "rare-shingles")
+    # The heads hold a node's first shared shingles by rank; a shingle number of zero stands for none.
+    first = [F.max(F.when(F.col("rank") == k + 1, F.col("shingle"))) for k in range(HEAD)]
+    heads = shared.where(F.col("rank") <= HEAD).groupBy("node").agg(F.array(*(F.coalesce(x, F.lit(0)) for x in first)).alias("head"))
+    empty = F.array(*[F.lit(0).cast("long")] * HEAD)
+    whole = shared.join(bands_of, "node").join(heads, "node", "left").withColumn("head", F.coalesce("head", empty))
+    return whole.select("shingle", "node", "root", "size", F.col("rank").cast("long").alias("rank"), "bands", "head")
 
 
 def similar_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -455,14 +486,15 @@ def similar_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     once = found.select("node", "text").dropDuplicates(["node"])
     sets = stored(once.mapInArrow(as_sets, "node long, shingles binary"), "met-sets")
     dealt = met.repartition(partitions(spark), "band").sortWithinPartitions("band", "place", "node")
-    links = _verified(dealt.select("band", "node").mapInArrow(_neighbours, "a long, b long"), sets, "star")
+    stars_of = dealt.select("band", "node").mapInArrow(_neighbours, "a long, b long").unionByName(_centres(met))
+    links = _verified(stars_of, sets, "star")
     roots = stored(component_roots(links), "star-roots")
     rooted = met.join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
     # In a band of two, or of one component, nothing is left to compare.
     open_bands = rooted.groupBy("band").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
     open_bands = open_bands.where("n > 2 and low <> high").select("band")
     crowded = stored(rooted.join(open_bands, "band").select("node", "root").distinct(), "crowded-nodes")
-    sharing = _rarest(sets, crowded).repartition(partitions(spark), "shingle").sortWithinPartitions("shingle")
+    sharing = _rarest(sets, crowded, classes.select("node", "bands")).repartition(partitions(spark), "shingle").sortWithinPartitions("shingle")
     more = _verified(sharing.mapInArrow(_sharing, "a long, b long"), sets, "rest")
     roots = component_roots(links.union(more))
     rooted = stored(classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
