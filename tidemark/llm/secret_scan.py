@@ -62,18 +62,33 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
+def covered(base: list[Span]) -> list[tuple[int, int]]:
+    """The stretches the findings cover, overlapping ones as one, by start."""
+    out: list[tuple[int, int]] = []
+    for _, a, z in sorted(base, key=lambda s: s[1]):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(z, out[-1][1]))
+        else:
+            out.append((a, z))
+    return out
+
+
 def candidates(text: str, base: list[Span]) -> list[tuple[int, int]]:
-    """Runs that may be tokens, or what base findings leave of them."""
-    out = []
+    """Runs that may be tokens, or what base findings leave of them; one walk over runs and findings together."""
+    out, taken, k = [], covered(base), 0
     for m in RUN.finditer(text):
+        while k < len(taken) and taken[k][1] <= m.start():
+            k += 1
         at, pieces = m.start(), []
-        for _, a, z in base:
-            if a < m.end() and at < z:
-                pieces.append((at, a))
-                at = z
+        while k < len(taken) and taken[k][0] < m.end():
+            pieces.append((at, taken[k][0]))
+            at = taken[k][1]
+            if at > m.end():  # it may reach into the next run
+                break
+            k += 1
         for a, z in [*pieces, (at, m.end())]:
-            run = text[a:z]
-            if z - a >= LONG or z - a >= SHORT and (any(c.isdigit() for c in run) and any(c.isalpha() for c in run) or MIXED.search(run)):
+            run = text[a:z] if a < z else ""
+            if len(run) >= LONG or len(run) >= SHORT and (any(c.isdigit() for c in run) and any(c.isalpha() for c in run) or MIXED.search(run)):
                 out.append((a, z))
     return out
 
@@ -88,7 +103,12 @@ def window(text: str, start: int, end: int) -> np.ndarray:
 def windows(text: str, start: int, end: int) -> list[tuple[int, np.ndarray]]:
     """(start, window) of overlapping pieces that cover the whole span; the last one ends with it."""
     last = max(start, end - INSIDE)
-    return [(a, window(text, a, min(end, a + INSIDE))) for a in [*range(start, last, INSIDE // 2), last]]
+    if last == start:
+        return [(start, window(text, start, end))]
+    shown = text[max(0, start - BEFORE) : start].rjust(BEFORE, "\0") + text[start : end + AFTER].ljust(end - start + AFTER, "\0")
+    codes = np.minimum(np.frombuffer(shown.encode("utf-32-le"), dtype="<u4"), 127).astype(np.uint8)
+    at = [*range(start, last, INSIDE // 2), last]
+    return list(zip(at, np.lib.stride_tricks.sliding_window_view(codes, WINDOW)[np.array(at) - start]))
 
 
 @dataclass
@@ -299,22 +319,23 @@ def joined(spans: list[Span]) -> str:
 
 
 def scan(docs: DataFrame, net: Network, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: doc_id, n_assign, n_access, n_hex, n_model, base_sha256, spans."""
+    """Per row: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_model."""
     rows = id_and_text(docs, doc_id, text)
-    names = ["doc_id", "n_assign", "n_access", "n_hex", "n_model", "base_sha256", "spans"]
+    names = ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_model"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = all_spans(batch.column(1).to_pylist(), net)
             counts = [[sum(s[0] == kind for s in whole) for _, whole in found] for kind in KINDS]
             digests = [hashlib.sha256(joined(base).encode()).hexdigest() for base, _ in found]
-            columns = [batch.column(0), *(pa.array(c, pa.int64()) for c in counts), pa.array(digests, pa.string())]
-            columns.append(pa.array([joined(whole) for _, whole in found], pa.string()))
+            spans = [joined(whole) for _, whole in found]
+            longs = [pa.array(c, pa.int64()) for c in counts]
+            columns = [batch.column(0), *longs[:3], pa.array(digests, pa.string()), pa.array(spans, pa.string()), longs[3]]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    longs = ", ".join(f"{n} long" for n in names[1:5])
-    return rows.mapInArrow(run, f"doc_id {id_type}, {longs}, base_sha256 string, spans string")
+    longs = ", ".join(f"{n} long" for n in names[1:4])
+    return rows.mapInArrow(run, f"doc_id {id_type}, {longs}, base_sha256 string, spans string, n_model long")
 
 
 def masked(text: str, spans: list[Span]) -> str:
