@@ -1,7 +1,7 @@
 """Shards cut along a Hilbert curve through several metadata dimensions.
 
-Every dimension is quantised to bins of near equal counts (boundaries over all rows); the
-bins of a row give its place on the curve. Rows in curve order are cut into shards whose
+Every dimension is quantised to bins of near equal counts (boundaries over all rows; texts by the rank of the whole
+value, so a common beginning does not matter); the bins of a row give its place on the curve. Rows in curve order are cut into shards whose
 row counts differ by one at most. Neighbours on the curve have similar values in every
 dimension, so the smallest and largest values of a shard let a reader skip it.
 
@@ -16,6 +16,7 @@ columns; equal rows are interchangeable; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -30,12 +31,15 @@ BITS = 6
 ACCURACY = 10_000
 
 
+def is_text(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, T.StringType)
+
+
 def as_number(df: DataFrame, name: str) -> Column:
-    """A number in the order of the column; of texts, the first six bytes."""
+    """A number in the order of the column; of a text the text itself."""
     column = F.col(f"`{name}`")
-    if isinstance(df.schema[name].dataType, T.StringType):
-        head = F.rpad(F.hex(F.substring(column.cast("binary"), 1, 6)), 12, "0")
-        return F.conv(head, 16, 10).cast("double")
+    if is_text(df, name):
+        return column
     if isinstance(df.schema[name].dataType, (T.DateType, T.TimestampType)):
         return column.cast("timestamp").cast("double")
     return column.cast("double")
@@ -69,11 +73,44 @@ def hilbert_index(axes: np.ndarray, bits: int) -> np.ndarray:
     return index
 
 
-def boundaries(df: DataFrame, dimensions: Sequence[str], bits: int) -> list[np.ndarray]:
-    """For every dimension the inner bin boundaries, at most 2 ** bits - 1 numbers; all rows count."""
+def running(rows: DataFrame, n: str) -> DataFrame:
+    """`rows`, written by task (__task), with __before: the sum of `n` over the tasks before. One row per task is summed in a window."""
+    sizes = rows.groupBy("__task").agg(F.sum(n).alias("__n"))
+    before = Window.orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = sizes.select("__task", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    return rows.join(ahead, "__task")
+
+
+def text_boundaries(df: DataFrame, name: str, bits: int) -> list[tuple[str, int]]:
+    """(smallest value, bin) of every bin but the first, at most 2 ** bits - 1; a value's bin is its rank among all rows, scaled.
+
+    Values are counted before they are ordered, so one that a third of the rows share is one row here.
+    """
+    counted = df.groupBy(F.col(f"`{name}`").alias("v")).agg(F.count("*").alias("n"))
+    ordered = counted.repartitionByRange(partitions(df.sparkSession), "v").withColumn("__task", F.spark_partition_id())
+    ordered = stored(ordered, "text-ranks")
+    smaller = Window.partitionBy("__task").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    rank = F.col("__before") + F.coalesce(F.sum("n").over(smaller), F.lit(0))
+    total = ordered.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    bins = running(ordered, "n").select("v", F.floor(rank * F.lit(2**bits) / F.lit(max(total, 1))).alias("bin")).where("v is not null and bin > 0")
+    return sorted((r["v"], r["bin"]) for r in bins.groupBy("bin").agg(F.min("v").alias("v")).collect())
+
+
+def text_bins(column: pa.Array, bounds: list[tuple[str, int]]) -> np.ndarray:
+    """The bin of every text; a null is in the first."""
+    coded = column.dictionary_encode()
+    starts, numbers = [v for v, _ in bounds], [0, *(n for _, n in bounds)]
+    of_value = np.array([*(numbers[bisect_right(starts, v)] for v in coded.dictionary.to_pylist()), 0], dtype=np.int64)
+    return of_value[coded.indices.fill_null(len(of_value) - 1).to_numpy(zero_copy_only=False)]
+
+
+def boundaries(df: DataFrame, dimensions: Sequence[str], bits: int) -> list:
+    """For every dimension the bin boundaries, at most 2 ** bits - 1; all rows count."""
     cuts = F.array(*(F.lit(k / 2**bits) for k in range(1, 2**bits)))
-    found = df.agg(*(F.percentile_approx(as_number(df, d), cuts, F.lit(ACCURACY)).alias(d) for d in dimensions)).first()
-    return [np.unique(np.array(values or [], dtype=np.float64)) for values in found]
+    numbers = [d for d in dimensions if not is_text(df, d)]
+    found = df.agg(*(F.percentile_approx(as_number(df, d), cuts, F.lit(ACCURACY)).alias(d) for d in numbers)).first() if numbers else []
+    inner = {d: np.unique(np.array(values or [], dtype=np.float64)) for d, values in zip(numbers, found)}
+    return [text_boundaries(df, d, bits) if is_text(df, d) else inner[d] for d in dimensions]
 
 
 def on_curve(df: DataFrame, dimensions: Sequence[str], bits: int) -> DataFrame:
@@ -88,6 +125,9 @@ def on_curve(df: DataFrame, dimensions: Sequence[str], bits: int) -> DataFrame:
             bins = []
             for k, inner in enumerate(bounds):
                 column = batch.column(kept + k)
+                if isinstance(inner, list):
+                    bins.append(text_bins(column, inner))
+                    continue
                 values = column.fill_null(-np.inf).to_numpy(zero_copy_only=False)
                 bins.append(np.searchsorted(inner, values, side="right"))
             curve = hilbert_index(np.stack(bins, axis=1), bits)
@@ -109,19 +149,15 @@ def curve_shards(df: DataFrame, dimensions: Sequence[str], shards: int, order: S
     number = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     dealt = on_curve(rows, dimensions, bits).repartitionByRange(partitions(spark), *keys).sortWithinPartitions(*keys)
     dealt = stored(dealt.withColumns({"__task": F.spark_partition_id(), "__number": number}), "curve-order")
-    # One row per partition: small whatever the number of rows.
-    sizes = stored(dealt.groupBy("__task").agg(F.count("*").alias("__n")), "curve-counts")
-    total = sizes.agg(F.coalesce(F.sum("__n"), F.lit(0))).first()[0]
-    before = Window.orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
-    ahead = sizes.select("__task", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__ahead"))
+    total = dealt.count()
     least, more = divmod(total, shards)
     wide = more * (least + 1)  # rows in the shards that have one more
-    rank = F.col("__ahead") + F.col("__number")
+    rank = F.col("__before") + F.col("__number")
     in_wide = F.floor(rank / F.lit(least + 1))
     in_rest = F.lit(more) + F.floor((rank - wide) / F.lit(max(least, 1)))
     shard = F.when(rank < wide, in_wide).otherwise(in_rest)
     start = F.when(shard < more, shard * (least + 1)).otherwise(wide + (shard - more) * least)
-    return dealt.join(ahead, "__task").select(*(f"`{c}`" for c in rows.columns), shard.cast("int").alias("shard"), (rank - start).cast("long").alias("slot"))
+    return running(dealt.withColumn("__one", F.lit(1)), "__one").select(*(f"`{c}`" for c in rows.columns), shard.cast("int").alias("shard"), (rank - start).cast("long").alias("slot"))
 
 
 def shard_ranges(layout: DataFrame, dimensions: Sequence[str]) -> DataFrame:
