@@ -4,10 +4,11 @@ On a sample of bounded size: the graph of each vector's nearest neighbours is cu
 parts (recursive spectral bisection, refined by swapping pairs across the cut), and a small
 network learns which parts a vector and its neighbours lie in. The network then places every row
 of the table in its most probable part, and sends a query to the several most probable ones. How
-many is calibrated on held-out sample vectors, as few as reach the wanted recall.
+many is measured: for sample vectors the network has not learned from, the nearest rows in the whole
+table are found by brute force, and as few parts are searched as reach the wanted recall of them.
 
 Parts above `chunk_rows` rows are cut into chunks by id, so a vector that very many rows share is no
-hot group: a task holds one chunk and streams over blocks of the queries routed to its part. Each
+hot group; the queries are cut into blocks of about `query_rows` by id, so a task holds one chunk and one block at most. Each
 returns the best of its chunk, in double precision on the original vectors, and the best of those
 per query are kept; that is `near` rows per query and chunk searched, so chunks are as large as memory allows. Only the fitted model and the row counts of the parts reach the driver.
 
@@ -34,10 +35,13 @@ from tidemark.llm.common import sampled, stored
 SAMPLE_ROWS = 4096
 PART_ROWS = 8192
 MOST_PARTS = 64
+FEW_PARTS, LEAST_ROWS = 16, 128  # small tables have up to so many parts, of so many rows
 CHUNK_ROWS = 16_384
 RECALL = 0.96
 GRAPH_DEGREE = 10
 QUERY_BLOCK = 256
+QUERY_ROWS = 65_536
+MEASURED = 256  # sample vectors whose nearest rows are found by brute force
 
 
 # -- fitting on the sample -----------------------------------------------------------
@@ -171,6 +175,40 @@ def fit(sample: np.ndarray, parts: int, near: int, recall: float = RECALL) -> Ro
     return router
 
 
+def measured_probes(placed: DataFrame, router: Router, ids: np.ndarray, asked: np.ndarray, near: int, recall: float) -> int:
+    """As few parts as hold `recall` of the `near` nearest rows of the table for the vectors `asked`, whose own ids are left out.
+
+    A task keeps the best of its rows per vector, so at most `near` rows a vector and task are shuffled.
+    """
+
+    def best(batches):
+        score, part = np.empty((len(asked), 0)), np.empty((len(asked), 0), dtype=np.int64)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            names, matrix, parts = batch.column(0).to_numpy(), _matrix(batch.column(1)), batch.column(2).to_numpy()
+            for at in range(0, len(names), 4096):
+                block = slice(at, at + 4096)
+                rough = asked @ matrix[block].T
+                rough[ids[:, None] == names[None, block]] = -np.inf
+                score = np.hstack([score, rough])
+                part = np.hstack([part, np.broadcast_to(parts[block], rough.shape)])
+                if score.shape[1] > near:
+                    top = np.argpartition(-score, near - 1, axis=1)[:, :near]
+                    score, part = np.take_along_axis(score, top, axis=1), np.take_along_axis(part, top, axis=1)
+        query, at = np.nonzero(score > -np.inf)
+        columns = [pa.array(query, pa.int32()), pa.array(score[query, at], pa.float64()), pa.array(part[query, at], pa.int32())]
+        yield pa.RecordBatch.from_arrays(columns, ["query", "score", "part"])
+
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "part")
+    found = placed.mapInArrow(best, "query int, score double, part int").withColumn("rank", F.row_number().over(order))
+    turn = np.argsort(np.argsort(-router.scores(asked), axis=1), axis=1)  # at which probe a part is searched
+    hits = np.zeros(router.parts)
+    for r in found.where(F.col("rank") <= near).groupBy("query", "part").count().collect():
+        hits[turn[r["query"], r["part"]]] += r["count"]
+    return int(np.searchsorted(hits.cumsum(), recall * hits.sum())) + 1
+
+
 # -- the table -----------------------------------------------------------------------
 
 
@@ -181,7 +219,7 @@ def _usable(vector: Column) -> Column:
 
 def usable_rows(df: DataFrame, vec_id: str, vector: str) -> DataFrame:
     """(vec_id, vector) of the rows that take part."""
-    rows = df.select(F.col(f"`{vec_id}`").alias("vec_id"), F.col(f"`{vector}`").cast("array<double>").alias("vector"))
+    rows = df.select(F.col(f"`{vec_id}`").cast("long").alias("vec_id"), F.col(f"`{vector}`").cast("array<double>").alias("vector"))
     rows = rows.where(F.col("vec_id").isNotNull() & _usable(F.col("vector")))
     sizes = rows.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
     return rows.where(F.size("vector") == (sizes["n"] if sizes else 0))
@@ -258,16 +296,15 @@ def nearest_neighbours(
     recall: float = RECALL,
     part_rows: int = PART_ROWS,
     chunk_rows: int = CHUNK_ROWS,
+    query_rows: int = QUERY_ROWS,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): of the rows where `is_query` (over column vec_id) the nearest other rows, by inner product."""
     rows = stored(usable_rows(df, vec_id, vector), "vectors")
     total = rows.count()
-    drawn = sampled(rows, {"vector": F.col("vector")}, ["vec_id"], sample_rows)
+    drawn = sampled(rows, {"vec_id": F.col("vec_id"), "vector": F.col("vector")}, ["vec_id"], sample_rows)
     sample = np.array([r["vector"] for r in drawn], dtype=np.float64)
-    parts = min(MOST_PARTS, -(-total // part_rows))
-    # In the sample, so many neighbours lie as close as the wanted ones do in the table.
-    alike = max(2, -(-near * len(sample) // max(total, 1)))
-    router = fit(sample, parts, alike, recall)
+    parts = min(MOST_PARTS, max(1, -(-total // part_rows), min(FEW_PARTS, total // LEAST_ROWS)))
+    router = fit(sample, parts, near, recall)
 
     def place(batches):
         for batch in batches:
@@ -275,6 +312,10 @@ def nearest_neighbours(
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.int32())], ["vec_id", "vector", "part"])
 
     placed = stored(rows.mapInArrow(place, "vec_id long, vector array<double>, part int"), "placed-vectors")
+    if router.parts > 1:
+        asked = min(MEASURED, max(16, len(sample) // 5))  # of those held back from the fit
+        ids = np.array([r["vec_id"] for r in drawn[:asked]])
+        router.probes = measured_probes(placed, router, ids, sample[:asked], near, recall)
     count = dict(placed.groupBy("part").count().collect())
     chunks = [-(-count.get(p, 0) // chunk_rows) for p in range(router.parts)]
     # Parts may be uneven: enough of them that even the smallest hold several times what is wanted.
@@ -284,7 +325,10 @@ def nearest_neighbours(
     cuts = F.array(*(F.lit(max(c, 1)) for c in chunks))
     points = placed.withColumn("chunk", F.pmod(F.hash("vec_id"), F.element_at(cuts, F.col("part") + 1)))
     queries = rows.where(is_query).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    blocks = max(1, -(-rows.where(is_query).count() // query_rows))
     routed = queries.mapInArrow(_routes(router, chunks, probes), "vec_id long, vector array<double>, part int, chunk int")
+    routed = routed.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
+    points = points.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
@@ -294,7 +338,7 @@ def nearest_neighbours(
     schema = T.StructType(
         [T.StructField("query_id", T.LongType()), T.StructField("vec_id", T.LongType()), T.StructField("score", T.DoubleType())]
     )
-    found = routed.groupBy("part", "chunk").cogroup(points.groupBy("part", "chunk")).applyInArrow(search, schema)
+    found = routed.groupBy("part", "chunk", "block").cogroup(points.groupBy("part", "chunk", "block")).applyInArrow(search, schema)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= near)
