@@ -76,16 +76,20 @@ class TextModel:
 
 
 def fit(rows: list[tuple[bytes, str]]) -> TextModel:
-    languages = sorted({lang for _, lang in rows})
-    counts = np.zeros((BUCKETS, len(languages)))
+    """The table is made one language at a time, so beside it only one column of counts is held."""
+    texts: dict[str, list[bytes]] = {}
     for text, lang in rows:
-        for found in trigrams(text):
-            counts[:, languages.index(lang)] += np.bincount(found, minlength=BUCKETS)
-    smooth = counts + 0.05
-    shares = smooth / smooth.sum(axis=0, keepdims=True) if languages else smooth
-    # A language also holds some text of no language (keys, numbers, names): one odd stretch does not outweigh the rest.
-    table = np.log((1 - FOREIGN) * shares + FOREIGN / BUCKETS)
-    return TextModel(languages, np.hstack([table, np.full((BUCKETS, 1), -np.log(BUCKETS))]).astype(np.float32))
+        texts.setdefault(lang, []).append(text)
+    languages = sorted(texts)
+    table = np.full((BUCKETS, len(languages) + 1), -np.log(BUCKETS), dtype=np.float32)
+    for k, lang in enumerate(languages):
+        smooth = np.full(BUCKETS, 0.05)
+        for text in texts[lang]:
+            for found in trigrams(text):
+                smooth += np.bincount(found, minlength=BUCKETS)
+        # A language also holds some text of no language (keys, numbers, names): one odd stretch does not outweigh the rest.
+        table[:, k] = np.log((1 - FOREIGN) * (smooth / smooth.sum()) + FOREIGN / BUCKETS)
+    return TextModel(languages, table)
 
 
 def code(column: Column) -> Column:
