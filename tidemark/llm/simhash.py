@@ -18,8 +18,9 @@ and are linked to each other; repeated rows share their component; null ids are
 when the smallest id of a component is taken (null if there is no other).
 
 The corpus pipeline (keep_one) has another contract: documents whose sets of 5-word shingles have a Jaccard
-similarity of 0.8 or more are near copies. The grid meets few pairs so far apart, so candidates come from MinHash
-bands there. In a band each document is compared with its neighbour in the order of the segment counts and with the most
+similarity of 0.8 or more are near copies. The grid comes first there too, over the SimHash words of the shingle sets; the
+links it finds are verified on the sets. It meets few pairs as far apart as 0.8, so candidates for the rest, documents that
+the grid has not connected, come from MinHash bands. In a band each document is compared with its neighbour in the order of the segment counts and with the most
 central one, whose bands are the fullest: the original of many copies, mostly, which links them all. Of bands whose documents are then not all connected, documents meet that share one of their rarest shingles: of two sets
 with that similarity the rarest fifth of each, and one more, have a shingle in common, whatever the counts. A
 passage that all documents of a band share is among their rarest in none, so it makes no pairs, and documents that share
@@ -294,8 +295,8 @@ def bands(shingles: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, s0, s1, place, bands) per row of (doc_id, text): s0 and s1 are a digest of the shingle set, place the segment counts of its SimHash."""
-    names = ["s0", "s1", "place"]
+    """(doc_id, s0, s1, place, w0, bands) per row of (doc_id, text): s0 and s1 are a digest of the shingle set, w0 its SimHash, place the segment counts of that."""
+    names = ["s0", "s1", "place", "w0"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -304,7 +305,7 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
                 own = shingle_set(data, words)
                 digest = np.frombuffer(xxhash.xxh3_128_digest(own.tobytes()), dtype=np.int64).tolist()
                 word = np.array(majority([own], 1), dtype=np.int64).view(np.uint64)
-                rows.append([*digest, int(_counts(word).view(np.int64)[0])])
+                rows.append([*digest, int(_counts(word).view(np.int64)[0]), int(word.view(np.int64)[0])])
                 found.append(bands(own))
             numbers = np.array(rows, dtype=np.int64).reshape(-1, len(names))
             columns = [pa.array(numbers[:, k]) for k in range(len(names))] + [pa.array(found, pa.list_(pa.int64()))]
@@ -462,18 +463,29 @@ def _rarest(sets: DataFrame, nodes: DataFrame, bands_of: DataFrame) -> DataFrame
     return whole.select("shingle", "node", "root", "size", F.col("rank").cast("long").alias("rank"), "bands", "head")
 
 
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs (a, b) that `roots` (node, root) does not connect already."""
+    rooted = pairs
+    for name in ("a", "b"):
+        own = roots.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}"))
+        rooted = rooted.join(own, name, "left").withColumn(f"root_{name}", F.coalesce(f"root_{name}", name))
+    return rooted.where("root_a <> root_b").select("a", "b")
+
+
 def similar_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, component_id) per row of (doc_id, text): the smallest id reachable over similar pairs that share a band."""
+    """(doc_id, component_id) per row of (doc_id, text): the smallest id reachable over similar pairs that the grid finds or that share a band."""
     spark = docs.sparkSession
     prints = stored(sketches(docs, words), "sketches")
-    classes = prints.groupBy("s0", "s1").agg(F.min("doc_id").alias("first"), F.min(F.struct("place", "bands")).alias("one"))
-    classes = classes.select("s0", "s1", "first", "one.place", "one.bands", F.monotonically_increasing_id().alias("node"))
+    classes = prints.groupBy("s0", "s1").agg(F.min("doc_id").alias("first"), F.min(F.struct("place", "w0", "bands")).alias("one"))
+    classes = classes.select("s0", "s1", "first", "one.place", "one.w0", "one.bands", F.monotonically_increasing_id().alias("node"))
     classes = stored(classes, "shingle-classes")
+    grid = stored(near_links(classes.select("node", "w0"), 1), "grid-links")
     rows = classes.select(F.explode("bands").alias("band"), "node", "place")
     rows = rows.repartition(partitions(spark), "band").sortWithinPartitions("band", "place", "node")
     met = stored(rows.mapInArrow(_met, "band long, node long, place long"), "bands-met")
 
-    wanted = met.select("node").distinct().join(classes.select("node", "first"), "node")
+    nodes = met.select("node").union(grid.select("a")).union(grid.select("b"))
+    wanted = nodes.distinct().join(classes.select("node", "first"), "node")
     found = docs.select(F.col("doc_id").alias("name"), "text").join(
         wanted, F.col("name.id").eqNullSafe(F.col("first.id")) & (F.col("name.key") == F.col("first.key"))
     )
@@ -485,9 +497,11 @@ def similar_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
     once = found.select("node", "text").dropDuplicates(["node"])
     sets = stored(once.mapInArrow(as_sets, "node long, shingles binary"), "met-sets")
+    close = _verified(grid, sets, "grid")
+    grid_roots = stored(component_roots(close), "grid-roots")
     dealt = met.repartition(partitions(spark), "band").sortWithinPartitions("band", "place", "node")
     stars_of = dealt.select("band", "node").mapInArrow(_neighbours, "a long, b long").unionByName(_centres(met))
-    links = _verified(stars_of, sets, "star")
+    links = close.union(_verified(_apart(stars_of, grid_roots), sets, "star"))
     roots = stored(component_roots(links), "star-roots")
     rooted = met.join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
     # In a band of two, or of one component, nothing is left to compare.
