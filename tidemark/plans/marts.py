@@ -84,6 +84,13 @@ def order_place(by_product: bool) -> Column:
 
 
 BY_ORDER = ["order_id", "__place"]
+# The steps after the move by order each hold their groups in memory, so its partitions are smaller than those of other shuffles.
+FINER = 4
+
+
+def by_order(items: DataFrame) -> DataFrame:
+    """The items moved by order, into a given number of partitions, which AQE does not merge again."""
+    return items.repartition(FINER * int(items.sparkSession.conf.get("spark.sql.shuffle.partitions")), *BY_ORDER)
 
 
 def payments_per_order(payments: DataFrame) -> DataFrame:
@@ -133,7 +140,7 @@ def mart_daily_sales(
         F.sum("item_amount").cast("decimal(22,2)").alias("category_amount"),
         F.sum("discount_amount").cast("decimal(22,2)").alias("item_discount_amount"),
     ]
-    per_category = chosen.repartition(*BY_ORDER).groupBy(*BY_ORDER, "order_date", "category_id").agg(*sums)
+    per_category = by_order(chosen).groupBy(*BY_ORDER, "order_date", "category_id").agg(*sums)
     order_total = F.sum("category_amount").over(Window.partitionBy(*BY_ORDER))
     with_total = per_category.withColumn("order_amount", order_total.cast("decimal(17,2)"))
     statuses = orders.where(not_deleted()).select("order_id", order_place(False), "order_status")
@@ -217,7 +224,7 @@ def mart_product_sales(
         F.sum("item_amount").alias("item_amount"),
         F.sum("discount_amount").alias("discount_amount"),
     ]
-    per_order = chosen.repartition(*BY_ORDER).groupBy(*BY_ORDER, *grain).agg(*sums).join(statuses, BY_ORDER, "left")
+    per_order = by_order(chosen).groupBy(*BY_ORDER, *grain).agg(*sums).join(statuses, BY_ORDER, "left")
     per_day = per_order.groupBy(*grain).agg(
         F.count("order_id").alias("order_count"),
         F.sum("order_item_count").alias("order_item_count"),
