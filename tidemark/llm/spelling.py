@@ -43,6 +43,15 @@ CHUNK_LETTERS = 1 << 18  # letters of the words on one side of a task
 KEY_WORDS = 4000  # words of a key, roughly, from which the next level becomes part of it
 DENSE = 1 << 15  # pairs compared at once
 VERIFY = 1 << 16
+FILE_ROWS = 50_000  # rows of a scratch file, about
+
+
+def _in_files(df: DataFrame, rows: int, purpose: str) -> DataFrame:
+    """`df` of some `rows` rows, stored in files of FILE_ROWS: a shuffle's many partitions would each make one of a few hundred rows.
+
+    Executors start a process for every file they create where Hadoop has no native library, which for that moment counts with all their memory.
+    """
+    return stored(df.coalesce(-(-max(rows, 1) // FILE_ROWS)), purpose)
 
 
 # -- words ---------------------------------------------------------------------------
@@ -286,7 +295,8 @@ def keyed(words: DataFrame, group: np.ndarray, groups: int, levels: int) -> Data
 def near_words(words: DataFrame, groups: int = GROUPS, chunk_letters: int = CHUNK_LETTERS, levels: int | None = None) -> DataFrame:
     """(word, n_near, most, form) of the words of stored (word, n) that have near ones: how many, the largest n among them, and its word."""
     group = letter_groups(words, groups)
-    levels = key_levels(words.count(), groups) if levels is None else levels
+    total = words.count()
+    levels = key_levels(total, groups) if levels is None else levels
     rows = keyed(words, group, groups, levels)
     asked = F.col("asks")
     size = F.length("word") + 16
@@ -295,7 +305,8 @@ def near_words(words: DataFrame, groups: int = GROUPS, chunk_letters: int = CHUN
     sizes = sizes.where("held > 0 and asking > 0").select(
         "key", F.ceil(F.col("held") / chunk_letters).cast("int").alias("held_cuts"), F.ceil(F.col("asking") / chunk_letters).cast("int").alias("asking_cuts")
     )
-    sizes = stored(sizes, "trie-keys")
+    # Each has a word of its own, so there are no more than words.
+    sizes = _in_files(sizes, total, "trie-keys")
     dealt = rows.join(broadcast_if_small(sizes, sizes.count()), "key")
     own = F.pmod(F.hash("word"), F.when(asked, F.col("asking_cuts")).otherwise(F.col("held_cuts")))
     others = F.sequence(F.lit(0), F.when(asked, F.col("held_cuts")).otherwise(F.col("asking_cuts")) - 1)
@@ -309,19 +320,23 @@ def near_words(words: DataFrame, groups: int = GROUPS, chunk_letters: int = CHUN
     found = dealt.groupBy("key", "place").applyInArrow(run, "word string, n_near long, most long, form string")
     best = F.min(F.struct((-F.col("most")).alias("less"), "form")).alias("best")
     sums = found.groupBy("word").agg(F.sum("n_near").alias("n_near"), best)
-    return stored(sums.select("word", "n_near", (-F.col("best.less")).alias("most"), "best.form"), "near-words")
+    return _in_files(sums.select("word", "n_near", (-F.col("best.less")).alias("most"), "best.form"), total, "near-words")
 
 
 def with_roots(forms: DataFrame) -> DataFrame:
-    """`forms` (word, form, ...) with root, the last word reached from form to form; pointers double in every round."""
-    now = stored(forms.select("word", F.coalesce("form", "word").alias("root")), "roots")
+    """`forms` (word, form, ...) with root, the last word reached from form to form; pointers double in every round.
+
+    Only words that have a form take part in the rounds; the others are their own root.
+    """
+    now = forms.where("form is not null").select("word", F.col("form").alias("root"))
+    rows = now.count()
     while True:
         ahead = now.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        step = stored(now.join(ahead, "root").select("word", F.col("next").alias("root"), (F.col("root") != F.col("next")).alias("moved")), "roots")
-        moved = not step.where("moved").isEmpty()
+        step = now.join(ahead, "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved"))
+        step = _in_files(step, rows, "roots")
         now = step.select("word", "root")
-        if not moved:
-            return forms.join(now, "word")
+        if step.where("moved").isEmpty():
+            return forms.join(now, "word", "left").withColumn("root", F.coalesce("root", "word"))
 
 
 def spelling_forms(
@@ -335,4 +350,4 @@ def spelling_forms(
     forms = words.join(near, "word", "left").select(
         "word", F.when(common, F.col("form")).alias("form"), "n", F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"), F.when(common, F.col("most")).alias("form_n")
     )
-    return with_roots(stored(forms, "forms")).select("word", "form", "root", "n", "n_near", "form_n")
+    return with_roots(_in_files(forms, words.count(), "forms")).select("word", "form", "root", "n", "n_near", "form_n")
