@@ -207,7 +207,7 @@ class TableStore:
         order = [*layout.partition_by, *layout.cluster_by]
         if order:
             out = out.sortWithinPartitions(*order)
-        writer = out.write.mode("errorifexists")
+        writer = out.write.mode("errorifexists").option("compression", "zstd")
         if layout.partition_by:
             writer = writer.partitionBy(*layout.partition_by)
         writer.parquet(f"{self.root}/{name}/{folder}")
