@@ -29,7 +29,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ascii_lower, partitions, stored
+from tidemark.llm.common import ascii_lower, in_files, partitions, stored
 from tidemark.session import shared_folder
 
 
@@ -39,6 +39,7 @@ def digest_of(text):
     return F.unhex(F.sha2(F.encode(normal, "UTF-8"), 256))
 
 
+FILE_TEXTS = 10_000  # whole rows of a scratch file
 ABOUT = "generation long, folder string, buckets int, id_type string"
 
 
@@ -152,6 +153,6 @@ class DigestIndex:
         whole = F.struct(F.col(f"`{doc_id}`").alias("id"), F.struct(*columns).alias("row"))
         best = docs.groupBy(digest_of(F.col(f"`{text}`")).alias("digest")).agg(F.max(whole).alias("best"))
         fresh = best.select("digest", F.col("best.id").alias("keep_id"), F.col("best.row").alias("row"))
-        kept = stored(self.unseen(fresh, batch), "digest-batch")
+        kept = in_files(self.unseen(fresh, batch), docs.count(), "digest-batch", FILE_TEXTS)
         self.append(kept, batch)
         return kept.select("row.*")

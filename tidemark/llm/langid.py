@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import in_files
 from tidemark.operators.reduce import broadcast_if_small
 
 LABELLED_ROWS = 2000
@@ -102,7 +102,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", rows: int
     known = labelled.select(F.col(f"`{text}`").alias("text"), code(F.col(f"`{lang}`")).alias("lang"))
     known = known.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     known = known.withColumn("cut", F.octet_length("text") > longest).withColumn("hash", F.xxhash64("text", "lang"))
-    hashes = stored(known.select("lang", "cut", "hash").distinct(), "label-hashes")
+    hashes = in_files(known.select("lang", "cut", "hash").distinct(), labelled.count(), "label-hashes")
     found: dict[str, tuple[bool, int]] = {}
     for r in sorted(hashes.groupBy("lang", "cut").count().collect()):
         found.setdefault(r["lang"], (r["cut"], r["count"]))  # texts that need no cut come first
@@ -165,7 +165,9 @@ def identify(
         soft, f"declared string, host string, suffix string, {doubles}"
     )
     # One pass over the texts; what is grouped below is small rows.
-    beliefs = stored(beliefs.groupBy("declared", "host", "suffix").agg(*(F.sum(n).alias(n) for n in names)), "beliefs")
+    beliefs = beliefs.groupBy("declared", "host", "suffix").agg(*(F.sum(n).alias(n) for n in names))
+    beliefs = in_files(beliefs, df.count(), "beliefs")
+    groups = beliefs.count()
     sums = [F.sum(n).alias(n) for n in names]
     overall = np.array([x or 0.0 for x in beliefs.agg(*sums).first()]) + 1.0
     overall = (overall / overall.sum()).tolist()
@@ -182,13 +184,13 @@ def identify(
         return level.select(key, *[c for c in level.columns if c == "suffix" and key != "suffix"], *shares)
 
     by_suffix = smoothed(beliefs.groupBy("suffix").agg(*sums), "suffix", [F.lit(x) for x in overall])
-    by_suffix = stored(by_suffix.toDF("suffix", *(f"s{k}" for k in range(size))), "suffix-priors")
+    by_suffix = in_files(by_suffix.toDF("suffix", *(f"s{k}" for k in range(size))), groups, "suffix-priors")
     hosts = beliefs.groupBy("host", "suffix").agg(*sums).join(by_suffix, "suffix")
     priors = smoothed(hosts, "host", [F.col(f"s{k}") for k in range(size)])
     priors = priors.select(
         F.col("host").alias("__h"), F.col("suffix").alias("__s"), F.array(*(f"q{k}" for k in range(size))).alias("__prior")
     )
-    priors = stored(priors, "host-priors")
+    priors = in_files(priors, groups, "host-priors")
     priors = broadcast_if_small(priors, priors.count() * (1 + size // 8))
     joined = rows.join(priors, F.col("__host").eqNullSafe(F.col("__h")) & (F.col("__suffix") == F.col("__s")), "left")
     joined = joined.select(*(f"`{c}`" for c in kept), "__text", "__declared", "__prior")

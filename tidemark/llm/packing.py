@@ -9,7 +9,8 @@ ranks and the sequence and place they go to.
 
 A piece's rank among those of its length is its number in its task plus the counts of
 the tasks before, so no length, however common, meets in one task. The pieces with their
-task and number are written first; a lost executor cannot change them.
+task and number are written first; a lost executor cannot change them. On the way to fewer
+files the pieces of a task stay together, so they all come from one run of it.
 
 Defined results: a null or empty text is a piece of one end id; repeated rows and equal or
 null ids are packed row by row; an empty table gives an empty result.
@@ -29,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import id_and_text, stored
+from tidemark.llm.common import id_and_text, in_files
 
 CAPACITY = 2048
 END_ID = 0
@@ -157,7 +158,7 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int,
 
 def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Add sequence_id and offset to stored rows of `token_pieces`."""
-    counts = stored(pieces.groupBy("task", "length").agg(F.count("*").alias("n")), "length-counts")
+    counts = in_files(pieces.groupBy("task", "length").agg(F.count("*").alias("n")), pieces.count(), "length-counts")
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     steps = np.array(sorted(plan(histogram, capacity)) or np.empty((0, 4)), dtype=np.int64).reshape(-1, 4)
     keys = (steps[:, 0] << 44) + steps[:, 1]
@@ -195,5 +196,5 @@ def pack(
 
     `encoder` names the tokenizer files, which every executor must have: (file for `tokenizers`, ranks or None, pattern).
     """
-    pieces = stored(token_pieces(id_and_text(docs, doc_id, text), encoder, capacity, end_id), "token-pieces")
-    return place(pieces, capacity)
+    pieces = token_pieces(id_and_text(docs, doc_id, text), encoder, capacity, end_id).repartition("task")
+    return place(in_files(pieces, docs.count(), "token-pieces"), capacity)

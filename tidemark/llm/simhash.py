@@ -38,13 +38,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import id_and_text, partitions, stored, utf8_list
+from tidemark.llm.common import id_and_text, in_files, partitions, stored, utf8_list
 from tidemark.llm.components import component_roots
 from tidemark.operators.reduce import broadcast_if_small
 
 SEED = 42
 RADIUS = 3
 STEP = 1 << 16
+FILE_DOCUMENTS = 10_000  # documents whose rows make a scratch file
 
 
 def shingle_hashes(data: bytes, words: int) -> Iterator[np.ndarray]:
@@ -231,7 +232,7 @@ def near_links(classes: DataFrame, turns: int, bits: int = RADIUS, cell_rows: in
         cells.where("probe = 0").groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > cell_rows)
         .select("cell", F.ceil(F.col("n") / cell_rows).cast("int").alias("chunks"))
     )
-    crowded = stored(crowded, "crowded-cells")
+    crowded = in_files(crowded, classes.count(), "crowded-cells", FILE_DOCUMENTS)
     several = crowded.count()
     dealt = cells.withColumn("chunk", F.lit(0))
     if several:
@@ -266,6 +267,7 @@ WORDS = 5
 BANDS, DEPTH = 20, 5
 SIMILAR = (4, 5)  # shared shingles of all shingles of a pair, at least
 HUB = 64  # pairs of a node that are verified together
+FILE_PAIRS = 2_000  # pairs, or crowded nodes with their shingles, of a scratch file
 _DRAWS = np.random.default_rng(SEED).integers(0, 2**63, (2, BANDS * DEPTH, 1), dtype=np.uint64)
 _XOR, _ODD = _DRAWS[0], _DRAWS[1] * np.uint64(2) + np.uint64(1)
 
@@ -416,7 +418,7 @@ def _sharing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _verified(pairs: DataFrame, sets: DataFrame, purpose: str) -> DataFrame:
     """The pairs whose sets (node, shingles) are similar. A set that many pairs name is dealt out in copies, one per HUB pairs."""
     pairs = pairs.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    pairs = stored(pairs.distinct(), f"{purpose}-pairs")
+    pairs = in_files(pairs.distinct(), sets.count(), f"{purpose}-pairs", FILE_DOCUMENTS)
     chunks = pairs.groupBy("b").agg(F.ceil(F.count("*") / HUB).cast("int").alias("chunks"))
     hubs = chunks.join(sets, chunks.b == sets.node).select("b", "chunks", F.col("shingles").alias("other"))
     hubs = hubs.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
@@ -430,7 +432,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, purpose: str) -> DataFrame:
             good = pa.array([similar(x, y) for x, y in zip(own, other)], pa.bool_())
             yield batch.select(["a", "b"]).filter(good)
 
-    return stored(both.mapInArrow(run, "a long, b long"), f"{purpose}-links")
+    return in_files(both.mapInArrow(run, "a long, b long"), pairs.count(), f"{purpose}-links", FILE_PAIRS)
 
 
 def _rarest(sets: DataFrame, nodes: DataFrame, bands_of: DataFrame) -> DataFrame:
@@ -449,12 +451,13 @@ def _rarest(sets: DataFrame, nodes: DataFrame, bands_of: DataFrame) -> DataFrame
                     yield pa.RecordBatch.from_arrays([pa.array(part), *fixed], ["shingle", "node", "root", "size"])
 
     chosen = nodes.join(sets, "node").select("node", "root", "shingles")
-    rows = stored(chosen.mapInArrow(run, "shingle long, node long, root long, size long"), "crowded-shingles")
+    many = nodes.count()
+    rows = in_files(chosen.mapInArrow(run, "shingle long, node long, root long, size long"), many, "crowded-shingles", FILE_PAIRS)
     several = rows.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
     counted = rows.join(several, "shingle", "left").withColumn("n", F.coalesce("n", F.lit(1)))
     rank = F.row_number().over(Window.partitionBy("node").orderBy("n", "shingle"))
     few = counted.withColumn("rank", rank).where(F.col("rank") <= F.col("size") - F.ceil(F.col("size") * SIMILAR[0] / SIMILAR[1]) + 1)
-    shared = stored(few.where("n > 1").select("shingle", "node", "root", "size", "rank"), "rare-shingles")
+    shared = in_files(few.where("n > 1").select("shingle", "node", "root", "size", "rank"), many, "rare-shingles", FILE_PAIRS)
     # The heads hold a node's first shared shingles by rank; a shingle number of zero stands for none.
     first = [F.max(F.when(F.col("rank") == k + 1, F.col("shingle"))) for k in range(HEAD)]
     heads = shared.where(F.col("rank") <= HEAD).groupBy("node").agg(F.array(*(F.coalesce(x, F.lit(0)) for x in first)).alias("head"))
@@ -476,13 +479,14 @@ def similar_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """(doc_id, component_id) per row of (doc_id, text): the smallest id reachable over similar pairs that the grid finds or that share a band."""
     spark = docs.sparkSession
     prints = stored(sketches(docs, words), "sketches")
+    many = prints.count()
     classes = prints.groupBy("s0", "s1").agg(F.min("doc_id").alias("first"), F.min(F.struct("place", "w0", "bands")).alias("one"))
     classes = classes.select("s0", "s1", "first", "one.place", "one.w0", "one.bands", F.monotonically_increasing_id().alias("node"))
-    classes = stored(classes, "shingle-classes")
-    grid = stored(near_links(classes.select("node", "w0"), 1), "grid-links")
+    classes = in_files(classes, many, "shingle-classes", FILE_DOCUMENTS)
+    grid = in_files(near_links(classes.select("node", "w0"), 1), many, "grid-links", FILE_DOCUMENTS)
     rows = classes.select(F.explode("bands").alias("band"), "node", "place")
     rows = rows.repartition(partitions(spark), "band").sortWithinPartitions("band", "place", "node")
-    met = stored(rows.mapInArrow(_met, "band long, node long, place long"), "bands-met")
+    met = in_files(rows.mapInArrow(_met, "band long, node long, place long"), many, "bands-met", FILE_DOCUMENTS)
 
     nodes = met.select("node").union(grid.select("a")).union(grid.select("b"))
     wanted = nodes.distinct().join(classes.select("node", "first"), "node")
@@ -496,24 +500,24 @@ def similar_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["node", "shingles"])
 
     once = found.select("node", "text").dropDuplicates(["node"])
-    sets = stored(once.mapInArrow(as_sets, "node long, shingles binary"), "met-sets")
+    sets = in_files(once.mapInArrow(as_sets, "node long, shingles binary"), many, "met-sets", FILE_DOCUMENTS)
     close = _verified(grid, sets, "grid")
-    grid_roots = stored(component_roots(close), "grid-roots")
+    grid_roots = in_files(component_roots(close), many, "grid-roots")
     dealt = met.repartition(partitions(spark), "band").sortWithinPartitions("band", "place", "node")
     stars_of = dealt.select("band", "node").mapInArrow(_neighbours, "a long, b long").unionByName(_centres(met))
     links = close.union(_verified(_apart(stars_of, grid_roots), sets, "star"))
-    roots = stored(component_roots(links), "star-roots")
+    roots = in_files(component_roots(links), many, "star-roots")
     rooted = met.join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
     # In a band of two, or of one component, nothing is left to compare.
     open_bands = rooted.groupBy("band").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
     open_bands = open_bands.where("n > 2 and low <> high").select("band")
-    crowded = stored(rooted.join(open_bands, "band").select("node", "root").distinct(), "crowded-nodes")
+    crowded = in_files(rooted.join(open_bands, "band").select("node", "root").distinct(), many, "crowded-nodes")
     sharing = _rarest(sets, crowded, classes.select("node", "bands")).repartition(partitions(spark), "shingle").sortWithinPartitions("shingle")
     more = _verified(sharing.mapInArrow(_sharing, "a long, b long"), sets, "rest")
     roots = component_roots(links.union(more))
-    rooted = stored(classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
-    smallest = stored(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "component-ids")
-    labelled = stored(rooted.join(smallest, "root").select("s0", "s1", "component_id"), "labelled")
+    rooted = in_files(classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), many, "rooted")
+    smallest = in_files(rooted.groupBy("root").agg(F.min("first").alias("component_id")), many, "component-ids")
+    labelled = in_files(rooted.join(smallest, "root").select("s0", "s1", "component_id"), many, "labelled")
     return prints.join(labelled, ["s0", "s1"]).select("doc_id", "component_id")
 
 
@@ -526,6 +530,6 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
     named = docs.select(F.struct(F.col(f"`{doc_id}`").alias("id"), key.alias("key")).alias("name"), F.col(f"`{text}`").alias("text"))
     found = similar_components(id_and_text(named, "name", "text"), words)
     gone = found.where("doc_id <> component_id").select(F.col("doc_id.id").alias("__id"), F.col("doc_id.key").alias("__key"))
-    gone = stored(gone.distinct(), "near-copies")
+    gone = in_files(gone.distinct(), docs.count(), "near-copies")
     same = F.col(f"`{doc_id}`").eqNullSafe(F.col("__id")) & (key == F.col("__key"))
     return docs.join(gone, same, "left_anti")
